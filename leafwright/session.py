@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,7 +24,24 @@ def get_session(app: str = "leafwright", cores: str = "*", shuffle: int = 8) ->
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per session, so that no worker needs it on its path."""
+    sc = spark.sparkContext
+    if getattr(sc, "_leafwright_shipped", False):
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    to = os.path.join(tempfile.mkdtemp(prefix="leafwright-"), "leafwright_package.zip")
+    with zipfile.ZipFile(to, "w") as z:
+        for folder, _, files in os.walk(home):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    z.write(os.path.join(folder, f), os.path.relpath(os.path.join(folder, f), os.path.dirname(home)))
+    sc.addPyFile(to)
+    sc._leafwright_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
