@@ -13,6 +13,9 @@ text; lone surrogates cannot occur in a Spark string.
 from __future__ import annotations
 
 import base64
+import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -26,10 +29,31 @@ TOKENIZER_DIR = "/opt/tokenizers"
 DEFAULT_VOCABULARY = "byte_bpe_50k.tiktoken"
 #: The pre-tokenization pattern published with the tokenizer.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
+#: The same cuts with the faster standard module, for texts without the characters in which its classes differ.
+_QUICK = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]++| ?\d++| ?(?:[^\s\w]|_)++|\s+(?!\S)|\s+").findall
 #: Distinct pieces kept per worker; the table of a piece is a pure function, so dropping it costs time only.
 PIECES_KEPT = 400_000
 
 
+@lru_cache(maxsize=1)
+def _differing():
+    """Finds numbers that are no decimal digits, word characters that are neither letter nor number, and C0 separators."""
+    odd = []
+    for c in map(chr, range(128, sys.maxunicode + 1)):
+        kind = unicodedata.category(c)
+        letter, number = kind[0] == "L", kind[0] == "N"
+        if (c.isalnum() != (letter or number)) or (number and kind != "Nd") or (c.isdecimal() != (kind == "Nd")):
+            odd.append(c)
+    runs, i = [], 0
+    while i < len(odd):
+        j = i
+        while j + 1 < len(odd) and ord(odd[j + 1]) == ord(odd[j]) + 1:
+            j += 1
+        runs.append(f"{odd[i]}-{odd[j]}")
+        i = j + 1
+    return re.compile("[\x1c-\x1f" + "".join(runs) + "]").search
+
+
 class PrefixBpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN):
         self.ranks = ranks
@@ -42,6 +66,7 @@ class PrefixBpe:
         #: Lengths of the tokens that end in these two bytes, longest first.
         self.lengths = {k: tuple(sorted(v, reverse=True)) for k, v in ends.items()}
         self.split = regex.compile(pattern).findall
+        self.own_pattern = pattern != PATTERN
         self.pairs: dict[tuple[int, int], bool] = {}
 
     def _merge(self, data: bytes) -> list[int]:
@@ -118,8 +143,11 @@ class PrefixBpe:
                 ids = self[w] = make(w)
                 return ids
 
-        kept, split, flat = Kept(), self.split, chain.from_iterable
-        return lambda text: list(flat(map(kept.__getitem__, split(text)))) if text else []
+        kept, cuts, flat = Kept(), self.cuts, chain.from_iterable
+        return lambda text: list(flat(map(kept.__getitem__, cuts(text)))) if text else []
+
+    def cuts(self, text: str) -> list[str]:
+        return self.split(text) if self.own_pattern or _differing()(text) else _QUICK(text)
 
 
 class Editable:
