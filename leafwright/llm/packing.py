@@ -66,9 +66,10 @@ def pack(sizes: DataFrame, containers: DataFrame, key: str = "doc_id", block_ite
     containers is a handful of rows. Returns (container_id, key, piece_no, bin_id, n_tokens), a row per piece.
     """
     items = sizes.select(F.col(key).alias("k"), F.coalesce("n_tokens", F.lit(0)).alias("n"), F.coalesce("n_loss", F.lit(0)).alias("loss"))
-    spots = containers.where(F.col("capacity_tokens") > 0).select("container_id", F.col("capacity_tokens").alias("cap")).distinct()
+    spots = containers.where(F.col("capacity_tokens") > 0).select("container_id", "capacity_tokens").distinct().orderBy("container_id").collect()  # a handful
+    each = F.explode(F.array(*[F.struct(F.lit(r[0]).alias("container_id"), F.lit(r[1]).alias("cap")) for r in spots]))
     n_blocks = max(1, -(-items.count() // block_items))
-    both = items.join(F.broadcast(spots)).withColumn("full", F.when(F.col("n") > F.col("cap"), F.floor(F.col("n") / F.col("cap")).cast("int")).otherwise(F.lit(0)))
+    both = items.withColumn("c", each).select("*", "c.container_id", "c.cap").drop("c").withColumn("full", F.when(F.col("n") > F.col("cap"), F.floor(F.col("n") / F.col("cap")).cast("int")).otherwise(F.lit(0)))
     kind = sizes.schema[key].dataType.simpleString()
     whole = (
         both.where("full > 0")

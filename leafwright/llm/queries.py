@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm import packing, tokens
+from leafwright.llm import mojibake, packing, tokens
 from leafwright.session import table, through_disk
 
 
@@ -25,5 +25,26 @@ def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill_report(p9_placements(spark, sf_dir), table(spark, sf_dir, "containers"))
 
 
-QUERIES = {"p8_ids": p8_ids, "p9_placements": p9_placements, "p9_fill": p9_fill}
+def _repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return mojibake.repair(docs, mojibake.train(docs))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with characters that came from a wrong decoding."""
+    return _repaired(spark, sf_dir).where("affected").select("doc_id").distinct()
+
+
+def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The affected documents with what could be restored and the chains that did it."""
+    return _repaired(spark, sf_dir).where("affected").select("doc_id", F.col("fixed").alias("text"), F.concat_ws(",", "chains").alias("chains"))
+
+
+QUERIES = {
+    "p8_ids": p8_ids,
+    "p9_placements": p9_placements,
+    "p9_fill": p9_fill,
+    "p10_found": p10_found,
+    "p10_restored": p10_restored,
+}
 SQL: dict[str, str] = {}
