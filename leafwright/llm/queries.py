@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm import mojibake, packing, tokens
+from leafwright.llm import lookalike, mojibake, packing, tokens
 from leafwright.session import table, through_disk
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of results whose texts look the same but differ in their characters."""
+    return lookalike.same_look(table(spark, sf_dir, "results"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, ids) of every document by byte_bpe_50k."""
     return tokens.encode(table(spark, sf_dir, "documents"))
@@ -41,6 +46,7 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p2_found": p2_found,
     "p8_ids": p8_ids,
     "p9_placements": p9_placements,
     "p9_fill": p9_fill,
