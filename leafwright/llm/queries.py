@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm import lookalike, mojibake, packing, tokens
+from leafwright.llm import lookalike, mojibake, packing, repetition, tokens
 from leafwright.session import table, through_disk
 
 
@@ -14,6 +14,20 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.same_look(table(spark, sf_dir, "results"))
 
 
+def _untabled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "results").where(F.coalesce("class", F.lit("")) != "table").select("result_id", "text")
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results in which more than half of the characters repeat earlier ones."""
+    return repetition.repetitive(_untabled(spark, sf_dir)).select("result_id").distinct()
+
+
+def p3_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of repeated content of every result but tables, by rule."""
+    return repetition.shares(_untabled(spark, sf_dir))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, ids) of every document by byte_bpe_50k."""
     return tokens.encode(table(spark, sf_dir, "documents"))
@@ -47,6 +61,8 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "p2_found": p2_found,
+    "p3_found": p3_found,
+    "p3_shares": p3_shares,
     "p8_ids": p8_ids,
     "p9_placements": p9_placements,
     "p9_fill": p9_fill,
