@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm import lookalike, mojibake, packing, repetition, tokens
+from leafwright.llm import cutoff, lookalike, mojibake, packing, repetition, tokens
 from leafwright.session import table, through_disk
 
 
@@ -28,6 +28,16 @@ def p3_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.shares(_untabled(spark, sf_dir))
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results whose text was cut."""
+    return cutoff.cut_rows(table(spark, sf_dir, "results")).select("result_id").distinct()
+
+
+def p6_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of cut results of each source."""
+    return cutoff.by_source(table(spark, sf_dir, "results"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, ids) of every document by byte_bpe_50k."""
     return tokens.encode(table(spark, sf_dir, "documents"))
@@ -63,6 +73,8 @@ QUERIES = {
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_shares": p3_shares,
+    "p6_found": p6_found,
+    "p6_sources": p6_sources,
     "p8_ids": p8_ids,
     "p9_placements": p9_placements,
     "p9_fill": p9_fill,
