@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm import cutoff, lookalike, mojibake, packing, repetition, tokens
+from leafwright.llm import cutoff, language, lookalike, mojibake, packing, repetition, tokens
 from leafwright.session import table, through_disk
 
 
@@ -28,6 +28,21 @@ def p3_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.shares(_untabled(spark, sf_dir))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results with a missing or wrong language label, or several languages: one row per language."""
+    return language.mislabelled(table(spark, sf_dir, "results")).distinct()
+
+
+def p5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The languages of every result that holds sentences, with a confidence and what the label names."""
+    return language.detect(table(spark, sf_dir, "results"))
+
+
+def p5_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The segments of every result that holds sentences, with language and confidence."""
+    return language.segments(table(spark, sf_dir, "results"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results whose text was cut."""
     return cutoff.cut_rows(table(spark, sf_dir, "results")).select("result_id").distinct()
@@ -73,6 +88,9 @@ QUERIES = {
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_shares": p3_shares,
+    "p5_found": p5_found,
+    "p5_languages": p5_languages,
+    "p5_segments": p5_segments,
     "p6_found": p6_found,
     "p6_sources": p6_sources,
     "p8_ids": p8_ids,
