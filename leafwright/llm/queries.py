@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm import cutoff, language, lookalike, mojibake, packing, repetition, tokens
+from leafwright.llm import cutoff, language, lookalike, markup, mojibake, packing, repetition, tokens
 from leafwright.session import table, through_disk
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results whose text holds markup that is not their class's own form."""
+    return markup.residue(table(spark, sf_dir, "results")).select("result_id").distinct()
+
+
+def p1_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and clean text of every result."""
+    return markup.cleaned(table(spark, sf_dir, "results"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of results whose texts look the same but differ in their characters."""
     return lookalike.same_look(table(spark, sf_dir, "results"))
@@ -85,6 +95,8 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_clean": p1_clean,
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_shares": p3_shares,
