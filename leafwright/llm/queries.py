@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafwright.llm import cutoff, language, lookalike, markup, mojibake, packing, repetition, tokens
+from leafwright.llm import cutoff, language, lookalike, markup, mojibake, packing, repetition, scan, tokens
 from leafwright.session import table, through_disk
 
 
@@ -38,6 +38,16 @@ def p3_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.shares(_untabled(spark, sf_dir))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results whose text shows noise of a scanned page."""
+    return scan.noisy(table(spark, sf_dir, "results")).select("result_id").distinct()
+
+
+def p4_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prose results as continuous paragraphs with misread words replaced."""
+    return scan.repaired(table(spark, sf_dir, "results"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results with a missing or wrong language label, or several languages: one row per language."""
     return language.mislabelled(table(spark, sf_dir, "results")).distinct()
@@ -100,6 +110,8 @@ QUERIES = {
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_shares": p3_shares,
+    "p4_found": p4_found,
+    "p4_repaired": p4_repaired,
     "p5_found": p5_found,
     "p5_languages": p5_languages,
     "p5_segments": p5_segments,
