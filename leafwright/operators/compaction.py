@@ -71,7 +71,7 @@ def deduplicate(records: DataFrame) -> DataFrame:
     """
     rest = [c for c in records.columns if c not in (*RECORD, "part")]
     keys = [c for c in (*RECORD, "part") if c in records.columns]
-    rank = F.struct(F.coalesce(F.col("written_at"), F.lit("1970-01-01").cast("timestamp")), F.coalesce("file_id", F.lit(-1)), F.coalesce("row_no", F.lit(-1)))
+    rank = F.struct(F.coalesce(F.col("written_at").cast("timestamp"), F.lit("1970-01-01").cast("timestamp")), F.coalesce("file_id", F.lit(-1)), F.coalesce("row_no", F.lit(-1)))
     best = records.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("r"))
     return best.select(*keys, *[F.col("r")[c].alias(c) for c in rest])
 

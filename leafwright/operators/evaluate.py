@@ -45,10 +45,11 @@ def attribute_slices(pages: DataFrame, attributes: dict[str, Column], value: str
 
     An attribute is an array; a page counts in each of its values, and in ``None`` if it has none.
     """
-    pairs = [
-        F.transform(F.when(F.size(c) > 0, c).otherwise(F.array(F.lit("None"))), lambda v, n=name: F.struct(F.lit(n).alias("attribute"), v.alias("slice")))
-        for name, c in attributes.items()
-    ]
+
+    def named(name: str, c: Column) -> Column:
+        return F.transform(F.when(F.size(c) > 0, c).otherwise(F.array(F.lit("None"))), lambda v: F.struct(F.lit(name).alias("attribute"), v.alias("slice")))
+
+    pairs = [named(n, c) for n, c in attributes.items()]
     flat = pages.select(page, value, F.explode(reduce(F.concat, pairs)).alias("a"))
     return flat.groupBy(F.col("a.attribute").alias("attribute"), F.col("a.slice").alias("slice")).agg(F.count(F.lit(1)).alias("n_pages"), F.avg(value).alias("page_avg"))
 
@@ -210,6 +211,12 @@ def visual_drop_classes(blocks: DataFrame) -> DataFrame:
     return blocks.where(F.col("class").isin(*C.VISUAL_ONLY)).groupBy("class").agg(F.count(F.lit(1)).alias("regions"), F.sum(size).alias("chars"))
 
 
+def mean_delta(a: DataFrame, b: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(n, mean_a, mean_b, delta) of a measure over what two arms share."""
+    m = a.select(*keys, F.col(value).alias("_a")).join(b.select(*keys, F.col(value).alias("_b")), keys)
+    return m.agg(F.count(F.lit(1)).alias("n"), F.avg("_a").alias("mean_a"), F.avg("_b").alias("mean_b"), (F.avg("_b") - F.avg("_a")).alias("delta"))
+
+
 def compare_groups(df: DataFrame, flag: Column, value: str) -> DataFrame:
     """(flag, n, median, mean) of a measure with and without something."""
     return df.groupBy(flag.alias("flag")).agg(F.count(value).alias("n"), F.median(value).alias("median"), F.avg(value).alias("mean"))
