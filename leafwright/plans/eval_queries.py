@@ -502,7 +502,7 @@ def second_timing_log(spark, sf_dir):
     return R.second_timing_log(lines, t.select("stem"))
 
 
-@query("page_elapsed", "select run, stem, epoch_us(coalesce(lead(at) over (partition by run order by at, stem), ended)) - epoch_us(at) as micros from (select kind as run, path as stem, written_at as at, max(written_at) over (partition by kind) as ended from small_files where file_id in (select min(file_id) from small_files group by kind, written_at)) x")
+@query("page_elapsed", "select run, stem, epoch_us(coalesce(lead(ts) over (partition by run order by ts, stem), ended)) - epoch_us(ts) as micros from (select kind as run, path as stem, written_at as ts, max(written_at) over (partition by kind) as ended from small_files where file_id in (select min(file_id) from small_files group by kind, written_at)) x")
 def page_elapsed(spark, sf_dir):
     from pyspark.sql import Window
 
