@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from leafwright import constants as C
 from leafwright.operators import geometry as G
+from leafwright.operators.sampling import numbered
 
 SHORT, LONG, SAME_BOX, COVER_OK, EMPTY_IOU = 0.9, 1.1, 0.7, 0.7, 0.5
 INSIDE, SWALLOW, SWALLOW_AREA = 0.5, 0.8, 1.5
@@ -156,6 +157,23 @@ def recoverable(samples: DataFrame, pages: DataFrame, least: int = 8) -> DataFra
     return s.join(pages, "img_id").withColumn("found", F.contains("page_text", "norm_gt"))
 
 
+def medians(df: DataFrame, group: str, values: dict[str, str]) -> DataFrame:
+    """(group, n, one column per value): exact medians, the mean of the middle two for an even count.
+
+    ``values`` maps names to columns without nulls in common rows. Spark's own exact median keeps every
+    distinct value of a group in one task; here rows are ranked in sorted ranges, so that a group of any size
+    spreads out and only its middle rows come together.
+    """
+    out = None
+    for name, column in values.items():
+        rows = df.where(F.col(column).isNotNull()).select(group, F.col(column).alias("_v"), F.monotonically_increasing_id().alias("_t"))
+        ranked = numbered(rows, group, ["_v", "_t"])  # the second column lets very many equal values spread out
+        middle = ranked.where((F.col("_i") == F.floor((F.col("_n") - 1) / 2)) | (F.col("_i") == F.floor(F.col("_n") / 2)))
+        m = middle.groupBy(group).agg(F.max("_n").alias("n"), F.avg("_v").alias(name))
+        out = m if out is None else out.join(m.drop("n").withColumnRenamed(group, "_g"), F.col(group).eqNullSafe(F.col("_g"))).drop("_g")
+    return out
+
+
 def crop_bucket(crops: Column) -> Column:
     out = F.lit(None).cast("string")
     for lo, hi in C.CROP_BUCKETS:
@@ -168,7 +186,8 @@ def stage_medians(timings: DataFrame) -> DataFrame:
     t = timings.withColumn("total_s", F.col("layout_s") + F.col("recognize_s") + F.col("assemble_s"))
     stages = ["layout_s", "recognize_s", "assemble_s", "total_s"]
     flat = t.select(F.explode(F.array(*[F.struct(F.lit(s[:-2]).alias("stage"), F.col(s).alias("s")) for s in stages])).alias("x")).select("x.stage", "x.s")
-    return flat.groupBy("stage").agg(F.count("s").alias("n"), F.median("s").alias("median"), F.min("s").alias("lowest"), F.max("s").alias("highest"))
+    ends = flat.groupBy("stage").agg(F.min("s").alias("lowest"), F.max("s").alias("highest"))
+    return medians(flat, "stage", {"median": "s"}).join(ends, "stage").select("stage", "n", "median", "lowest", "highest")
 
 
 def paired_timings(first: DataFrame, second: DataFrame, add: float = C.LAYOUT_ADD_BACK) -> DataFrame:
@@ -182,7 +201,7 @@ def paired_timings(first: DataFrame, second: DataFrame, add: float = C.LAYOUT_AD
 def bucket_medians(paired: DataFrame) -> DataFrame:
     """(bucket, n, first, second, ratio) per range of crops, and ``ALL``, which holds those outside the ranges too."""
     both = paired.select("first_s", "second_s", F.explode(F.array_compact(F.array(crop_bucket(F.col("crops")), F.lit("ALL")))).alias("bucket"))
-    m = both.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.median("first_s").alias("first"), F.median("second_s").alias("second"))
+    m = medians(both, "bucket", {"first": "first_s", "second": "second_s"})
     return m.withColumn("ratio", F.try_divide(F.col("first"), F.col("second")))
 
 
@@ -193,7 +212,8 @@ def line_fit(df: DataFrame, y: str, x: str) -> DataFrame:
 
 def per_crop_seconds(timings: DataFrame) -> DataFrame:
     """The median recognition time of a crop over pages that have any."""
-    return timings.where("crops > 0").agg(F.median(F.col("recognize_s") / F.col("crops")).alias("per_crop_s"), F.count(F.lit(1)).alias("n"))
+    each = timings.where("crops > 0").select(F.lit("all").alias("g"), (F.col("recognize_s") / F.col("crops")).alias("s"))
+    return medians(each, "g", {"per_crop_s": "s"}).select("per_crop_s", "n")
 
 
 def visual_drop(blocks: DataFrame) -> DataFrame:
@@ -219,7 +239,9 @@ def mean_delta(a: DataFrame, b: DataFrame, keys: list[str], value: str) -> DataF
 
 def compare_groups(df: DataFrame, flag: Column, value: str) -> DataFrame:
     """(flag, n, median, mean) of a measure with and without something."""
-    return df.groupBy(flag.alias("flag")).agg(F.count(value).alias("n"), F.median(value).alias("median"), F.avg(value).alias("mean"))
+    flagged = df.select(flag.alias("flag"), F.col(value).alias("v")).where("v is not null")
+    means = flagged.groupBy(F.col("flag").alias("_f")).agg(F.avg("v").alias("mean"))
+    return medians(flagged, "flag", {"median": "v"}).join(means, F.col("flag").eqNullSafe(F.col("_f"))).select("flag", "n", "median", "mean")
 
 
 def relative_profile(df: DataFrame, item: str, ours: str, theirs: str) -> DataFrame:
