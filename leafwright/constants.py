@@ -1,4 +1,4 @@
-"""Fixed values that results depend on: class names and sets, thresholds, prompts."""
+"""Fixed values that results depend on: class names and sets, thresholds, prompts, tags."""
 
 #: Layout classes by label.
 CLASSES = (

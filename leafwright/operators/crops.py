@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from leafwright.sources.writers import png
 
+#: The detector's input side and the darkness of ink.
 SIDE = 800
 INK = 200
 

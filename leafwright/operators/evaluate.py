@@ -14,6 +14,7 @@ from leafwright import constants as C
 from leafwright.operators import geometry as G
 from leafwright.operators.sampling import numbered
 
+#: The bars between causes, and their names.
 SHORT, LONG, SAME_BOX, COVER_OK, EMPTY_IOU = 0.9, 1.1, 0.7, 0.7, 0.5
 INSIDE, SWALLOW, SWALLOW_AREA = 0.5, 0.8, 1.5
 LAYOUT_CAUSES = ("LAYOUT_MISS", "LAYOUT_SPLIT", "LAYOUT_MERGE", "LAYOUT_PARTIAL")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from leafwright import constants as C
 
+#: What counts as a loop.
 LOST = "�"
 PHRASE, COPIES, PHRASE_LINE = 8, 5, 100
 TILE_LINE, TILES = 10, 10

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -25,17 +26,25 @@ def get_session(app: str = "leafwright", cores: str = "*", shuffle: int = 8) ->
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per session, so that no worker needs it on its path."""
+    """Send this package to the executors once per session, so that no worker needs it on its path.
+
+    The archive lies in the shared folder, where every executor can fetch it at any time.
+    """
     sc = spark.sparkContext
     if getattr(sc, "_leafwright_shipped", False):
         return
     home = os.path.dirname(os.path.abspath(__file__))
-    to = os.path.join(tempfile.mkdtemp(prefix="leafwright-"), "leafwright_package.zip")
-    with zipfile.ZipFile(to, "w") as z:
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
         for folder, _, files in os.walk(home):
             for f in sorted(files):
                 if f.endswith(".py"):
                     z.write(os.path.join(folder, f), os.path.relpath(os.path.join(folder, f), os.path.dirname(home)))
+    to = f"{shared_dir(spark, 'package')}/leafwright_package.zip"
+    path = spark._jvm.org.apache.hadoop.fs.Path(to)
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    out.write(bytearray(data.getvalue()))
+    out.close()
     sc.addPyFile(to)
     sc._leafwright_shipped = True
 
