@@ -68,39 +68,67 @@ class PrefixBpe:
         self.split = regex.compile(pattern).findall
         self.own_pattern = pattern != PATTERN
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.halves: dict[int, tuple[int, int] | None] = {}
+        self.edges: dict[tuple[int, int], list[tuple[bytes, int, int]]] = {}
+        self.kept: dict[str, tuple[int, ...]] | None = None
+
+    def _halves(self, t: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes ``t``, found by merging its bytes with earlier merges only; None for a byte."""
+        known = self.halves.get(t, 0)
+        if known == 0:
+            parts = [bytes([b]) for b in self.words[t]]
+            ranks = self.ranks
+            while len(parts) > 2:
+                best, at = t, -1
+                for i in range(len(parts) - 1):
+                    r = ranks.get(parts[i] + parts[i + 1], t)
+                    if r < best:
+                        best, at = r, i
+                if at < 0:
+                    break
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            known = self.halves[t] = (ranks[parts[0]], ranks[parts[1]]) if len(parts) == 2 else None
+        return known
 
-    def _merge(self, data: bytes) -> list[int]:
-        """Plain pair merging, used only for pairs of tokens."""
-        parts = [bytes([b]) for b in data]
-        ranks = self.ranks
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = ranks.get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
-                break
-            pair, out, i = self.words[best], [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and parts[i] + parts[i + 1] == pair:
-                    out.append(pair)
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return [ranks[p] for p in parts]
+    def _edge(self, t: int, side: int) -> list[tuple[bytes, int, int]]:
+        """The tokens that stand at one edge of ``t`` while it is merged: (bytes, since which rank, until which rank)."""
+        key = (t, side)
+        edge = self.edges.get(key)
+        if edge is None:
+            edge, until = [], len(self.words)
+            while True:
+                halves = self._halves(t)
+                edge.append((self.words[t], t if halves else -1, until))
+                if not halves:
+                    break
+                until, t = t, halves[side]
+            self.edges[key] = edge
+        return edge
 
     def compatible(self, a: int, b: int) -> bool:
-        """True if ``a`` followed by ``b`` is what their joined bytes encode to; ``a`` = -1 is the start."""
+        """True if ``a`` followed by ``b`` is what their joined bytes encode to; ``a`` = -1 is the start.
+
+        Merging goes by rank. The pair falls apart if, at some rank, the tokens then standing at both sides of
+        the seam merge across it before either is merged on its own side; of equal ranks the left one is first.
+        """
+        if a < 0:
+            return len(self.words[b]) == 1 or self._halves(b) is not None
         key = (a, b)
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) > 2_000_000:
                 self.pairs.clear()
-            joined = self.words[b] if a < 0 else self.words[a] + self.words[b]
-            known = self.pairs[key] = self._merge(joined) == ([b] if a < 0 else [a, b])
+            known, rank = True, self.ranks.get
+            for x, x_since, x_until in self._edge(a, 1):
+                for y, y_since, y_until in self._edge(b, 0):
+                    if x_since < y_until and y_since < x_until:
+                        r = rank(x + y)
+                        if r is not None and r < x_until and r <= y_until:
+                            known = False
+                            break
+                if not known:
+                    break
+            self.pairs[key] = known
         return known
 
     def extend(self, data: bytes, last: list[int]) -> list[int]:
@@ -133,21 +161,40 @@ class PrefixBpe:
         return tuple(reversed(out))
 
     def encoder(self):
-        """A function text -> list of ids that keeps the tables of frequent pieces."""
-        make = self.piece
-
-        class Kept(dict):
-            def __missing__(self, w: str):
-                if len(self) >= PIECES_KEPT:
-                    self.clear()
-                ids = self[w] = make(w)
-                return ids
-
-        kept, cuts, flat = Kept(), self.cuts, chain.from_iterable
-        return lambda text: list(flat(map(kept.__getitem__, cuts(text)))) if text else []
-
-    def cuts(self, text: str) -> list[str]:
-        return self.split(text) if self.own_pattern or _differing()(text) else _QUICK(text)
+        """A function text -> list of ids that keeps the ids of pieces seen, over all texts of this process.
+
+        Texts are cut by the quick pattern. A piece that it may have cut wrongly is never kept, so that such a
+        text is noticed and cut again by the exact pattern.
+        """
+        if self.kept is None:
+            make, differs = self.piece, _differing()
+
+            class Kept(dict):
+                def __missing__(self, w: str):
+                    if differs(w):
+                        raise _Recut
+                    if len(self) >= PIECES_KEPT:
+                        self.clear()
+                    ids = self[w] = make(w)
+                    return ids
+
+            self.kept = Kept()
+        kept, flat, quick = self.kept.__getitem__, chain.from_iterable, self.split if self.own_pattern else _QUICK
+        exact, piece = self.split, self.piece
+
+        def encode(text: str | None) -> list[int]:
+            if not text:
+                return []
+            try:
+                return list(flat(map(kept, quick(text))))
+            except _Recut:
+                return list(flat(map(piece, exact(text))))
+
+        return encode
+
+
+class _Recut(Exception):
+    pass
 
 
 class Editable:
