@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafwright import constants as C
 from leafwright.operators import tables, textguard
+from leafwright.operators.sampling import numbered
 
 #: Blocks joined in one task before the pieces of a page are put together.
 PIECE = 512
@@ -59,9 +60,10 @@ def document(pages: DataFrame, key: str, order: list[str], text: str = "markdown
 
 
 
-def duplicate_numbering(blocks: DataFrame, page: str = "page") -> DataFrame:
-    """The zero-based place of each block on its page."""
-    return blocks.withColumn("pos", (F.row_number().over(Window.partitionBy(page).orderBy("read_order", "idx")) - 1).cast("int"))
+def positions(blocks: DataFrame, page: str = "page") -> DataFrame:
+    """Blocks with ``pos``, their zero-based place on the page; a page with very many blocks spreads over tasks."""
+    n = numbered(blocks, page, ["read_order", "idx"])
+    return n.withColumn("pos", F.col("_i").cast("int")).drop("_i", "_n")
 
 
 def page_name(image: Column) -> Column:

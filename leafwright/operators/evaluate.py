@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafwright import constants as C
-from leafwright.operators import geometry as G
 from leafwright.operators.sampling import numbered
 
 #: The bars between causes, and their names.

@@ -366,9 +366,9 @@ def arm_identity(spark, sf_dir):
     m as (select coalesce(x.page,y.page) as page, bool_and(x.read_order is not distinct from y.read_order and x.class is not distinct from y.class) as aligned from x full outer join y on x.page=y.page and x.p=y.p group by 1) select page, aligned from m""",
 )
 def aligned_results(spark, sf_dir):
-    from leafwright.operators.assemble import duplicate_numbering
+    from leafwright.operators.assemble import positions
 
-    b = duplicate_numbering(V.blocks(spark, sf_dir))
+    b = positions(V.blocks(spark, sf_dir))
     regions = b.withColumn("class", F.when(F.col("idx") % 50 == 0, F.lit("text")).otherwise(F.col("class")))
     return E.positional(b, regions).select("page", "aligned").distinct()
 

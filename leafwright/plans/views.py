@@ -3,14 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from leafwright import constants as C
-from leafwright.operators.layout import class_name
 from leafwright.session import table
 
-_CLASSES = ", ".join(f"'{c}'" for c in C.CLASSES)
-
 #: Detections on pages of 800 x 1000, about thirty a page, from lineitem.
 DETECTIONS = f"""
 select *, case label {' '.join(f"when {i} then '{c}'" for i, c in enumerate(C.CLASSES))} end as class from (
@@ -67,6 +63,3 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def timings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark_view(spark, sf_dir, TIMINGS)
-
-
-__all__ = ["F", "class_name", "detections", "blocks", "samples", "timings", "duck", "DETECTIONS", "BLOCKS", "SAMPLES", "TIMINGS"]

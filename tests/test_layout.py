@@ -201,6 +201,7 @@ def test_tasks_and_manifest(spark):
         ("table", "Table Recognition:", "crop_002_table.png"),
         ("chart", "Chart Recognition:", "crop_003_chart.png"),
     ]
+    assert sorted(map(tuple, T.plan_tasks(df, spread=True).collect())) == sorted(map(tuple, tasks.collect()))
     assert [r.crop for r in T.plan_tasks(df, skip_visual=True).orderBy("ordinal").collect()] == ["crop_000_text.png", "crop_002_table.png"]
     m = T.manifest_json(tasks).first().manifest
     assert m.startswith('[\n  {"read_order": 2, "class": "text", "prompt": "OCR:", "crop": "crop_000_text.png"},\n') and m.endswith("\n]\n")
