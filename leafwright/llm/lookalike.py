@@ -158,11 +158,16 @@ def looks(df: DataFrame, key: str = "result_id", text: str = "text") -> DataFram
 def same_look(df: DataFrame, key: str = "result_id", text: str = "text") -> DataFrame:
     """Pairs (a < b) of rows whose texts look the same and are different character sequences.
 
-    Looks with a single character sequence, which almost all are, drop out in a map-side aggregate, so exact
-    copies never meet; of the rest, only rows of different sequences are joined.
+    Looks with a single character sequence, which almost all are, drop out in a map-side aggregate. Of the
+    rest, the different sequences of a look are paired first, and only then does each side get its rows, so
+    that exact copies, however many, never meet each other.
     """
     seen = through_disk(looks(df, key, text), "look-keys")
     several = seen.groupBy("look").agg(F.min("raw").alias("x"), F.max("raw").alias("y")).where("x <> y").select("look")
-    rows = seen.join(several, "look", "left_semi")
-    a, b = rows.select("look", F.col("k").alias("a"), F.col("raw").alias("ra")), rows.select("look", F.col("k").alias("b"), F.col("raw").alias("rb"))
-    return a.join(b, (a["look"] == b["look"]) & (a["ra"] != b["rb"]) & (a["a"] < b["b"])).select(F.col("a").alias(f"{key}_a"), F.col("b").alias(f"{key}_b")).distinct()
+    rows = through_disk(seen.join(several, "look", "left_semi"), "look-rows")
+    forms = rows.select("look", "raw").distinct()
+    p, q = forms.select("look", F.col("raw").alias("ra")), forms.select("look", F.col("raw").alias("rb"))
+    pairs = p.join(q, "look").where("ra < rb")
+    a, b = rows.select("look", F.col("raw").alias("ra"), F.col("k").alias("a")), rows.select("look", F.col("raw").alias("rb"), F.col("k").alias("b"))
+    met = pairs.join(a, ["look", "ra"]).join(b, ["look", "rb"])
+    return met.select(F.least("a", "b").alias(f"{key}_a"), F.greatest("a", "b").alias(f"{key}_b")).distinct()

@@ -16,8 +16,6 @@ size are placed in the order of the key; repeated keys are separate items.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
