@@ -115,12 +115,49 @@ def layout_nms(spark, sf_dir):
     return L.suppress(_d(spark, sf_dir)).select(*KEY)
 
 
-@query("filter_boxes")
+# the overlap filter as a fold over places of the page's list, with the flags of dropped boxes as state
+_SI, _SJ = (f"greatest(r[{k}].x1-r[{k}].x0,0)*greatest(r[{k}].y1-r[{k}].y0,0)" for k in "ij")
+_INNER = "greatest(least(r[i].x1,r[j].x1)-greatest(r[i].x0,r[j].x0),0)*greatest(least(r[i].y1,r[j].y1)-greatest(r[i].y0,r[j].y0),0)"
+_SMALL = f"case when least({_SI},{_SJ})=0 then cast(0 as float) else cast({_INNER}/least({_SI},{_SJ}) as float) end"
+_PIC = "in ('image','table','seal','chart')"
+_FORMULA = "(r[i].class='inline_formula' or r[j].class='inline_formula')"
+_CAPTION = f"((r[i].class {_PIC} or r[j].class {_PIC}) and r[i].class<>r[j].class and ((r[i].class<>'table' and r[j].class<>'table') or (r[i].class {_PIC} and r[j].class {_PIC})))"
+
+
+def _gone(k: str, smaller: str) -> str:
+    return f"case when {_FORMULA} then ({_SMALL})>cast(0.5 as float) and r[{k}].class='inline_formula' else ({_SMALL})>cast(0.7 as float) and not {_CAPTION} and {smaller} end"
+
+
+_I, _J = _gone("i", f"{_SI}<{_SJ}"), _gone("j", f"{_SI}>={_SJ}")
+_STEP = f"case when a[i] or a[j] then a when not (({_I}) or ({_J})) then a else list_transform(a, lambda v, q: v or (q=i and ({_I})) or (q=j and ({_J}))) end"
+
+
+def _fold(source: str) -> str:
+    """CTEs that end in f (page_id, u, gone): the boxes of ``source`` and whether the overlap filter drops them."""
+    return f"""p as (select page_id, list({{'det_idx':det_idx,'class':class,'x0':x0,'y0':y0,'x1':x1,'y1':y1,'read_order':read_order}} order by read_order, det_idx) r from {source} where class<>'reference' group by page_id),
+    k as (select page_id, r, list_reduce(range(1, len(r)+1), lambda acc, i: list_reduce(range(i+1, len(r)+1), lambda a, j: {_STEP}, list_transform(acc, lambda v, q: v or (q=i and (r[i].x1-r[i].x0<6 or r[i].y1-r[i].y0<6)))), list_transform(r, lambda x: false)) g from p),
+    f as (select page_id, unnest(r) u, unnest(g) gone from k)"""
+
+
+@query("filter_boxes", f"{D1}, {_fold('d')} select page_id, u.det_idx as det_idx, u.class as class from f where not gone")
 def filter_boxes(spark, sf_dir):
     return L.filter_boxes(_d(spark, sf_dir)).select(*KEY, "class")
 
 
-@query("ref_postprocess")
+@query(
+    "ref_postprocess",
+    f"""{D1}, d1 as (select page_id, det_idx, label, class, score, read_order, cast(round_even(x0,0) as float) x0, cast(round_even(y0,0) as float) y0, cast(round_even(x1,0) as float) x1, cast(round_even(y1,0) as float) y1 from d where score > cast(0.3 as float)),
+    n0 as (select page_id, list({{'det_idx':det_idx,'label':label,'x0':x0,'y0':y0,'x1':x1,'y1':y1}} order by score desc, det_idx) r from d1 group by page_id),
+    n1 as (select page_id, list_reduce(r, lambda acc, x: case when len(list_filter(acc, lambda k: {_iou('x.', 'k.')} >= case when k.label = x.label then cast(0.6 as float) else cast(0.98 as float) end)) > 0 then acc else list_append(acc, x) end, r[1:0]) kept from n0),
+    n2 as (select page_id, u.det_idx as det_idx from (select page_id, unnest(kept) u from n1)),
+    d2 as (select d1.* from d1 join n2 on n2.page_id=d1.page_id and n2.det_idx=d1.det_idx),
+    g0 as (select *, class <> 'image' or cast(cast(least(x1,800)-greatest(x0,0) as float)*cast(least(y1,1000)-greatest(y0,0) as float) as float) <= cast(cast(cast(0.93 as float)*800 as float)*1000 as float) keep, count(*) over (partition by page_id) n from d2),
+    d3 as (select * from (select *, bool_or(keep) over (partition by page_id) any_kept from g0) where keep or n <= 1 or not any_kept),
+    d4 as (select a.* from d3 a where not exists (select 1 from d3 b where a.page_id=b.page_id and a.det_idx<>b.det_idx and b.class in ('chart','display_formula','doc_title','inline_formula','paragraph_title')
+      and {_AREA.format('a.')} > 0 and cast({_INTER.format('a.', 'b.')}/{_AREA.format('a.')} as float) >= cast(0.9 as float))),
+    d5 as (select * from (select page_id, det_idx, class, read_order, cast(trunc(greatest(x0,0)) as float) x0, cast(trunc(greatest(y0,0)) as float) y0, cast(trunc(least(x1,800)) as float) x1, cast(trunc(least(y1,1000)) as float) y1 from d4) where x1 > x0 and y1 > y0),
+    {_fold('d5')} select page_id, u.det_idx as det_idx, u.class as class, u.x0 as x0, u.y0 as y0, u.x1 as x1, u.y1 as y1, u.read_order as read_order from f where not gone""",
+)
 def ref_postprocess(spark, sf_dir):
     return L.postprocess(_d(spark, sf_dir)).select(*KEY, "class", *L.BOX, "read_order")
 
