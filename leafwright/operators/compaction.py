@@ -2,7 +2,8 @@
 
 The store keeps records under ``data/kind=../part=..`` and one JSON document per committed version under
 ``_snapshots``. A run reads the newest version, finds the partitions that hold more small files than
-allowed, rewrites only those with a dynamic partition overwrite and commits the next version. The commit
+allowed, rewrites only those with a dynamic partition overwrite, appends what came for the others as one
+small file each and commits the next version. The commit
 creates its file exclusively: if another writer has committed meanwhile, it fails with ``CommitConflict``
 before anything is replaced.
 """
@@ -115,42 +116,61 @@ class CompactStore:
         out.write(bytearray(json.dumps(snap.__dict__).encode()))
         out.close()
 
-    def read(self) -> DataFrame:
+    def _stored(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/data")
 
+    def _buckets(self, keys: list[str]) -> DataFrame:
+        return F.broadcast(self.spark.createDataFrame([(k.split("/")[0], int(k.split("/")[1])) for k in keys], "kind string, part int"))
+
+    def read(self) -> DataFrame:
+        """Every record once; only buckets with appended small files can hold one twice."""
+        stored = self._stored()
+        open_ = [k for k, n in self.snapshot().files.items() if n > 1]
+        if not open_:
+            return stored
+        keys = self._buckets(open_)
+        rest = stored.join(keys, ["kind", "part"], "left_anti")
+        return rest.unionByName(deduplicate(stored.join(keys, ["kind", "part"], "left_semi")))
+
     def compact(self, records: DataFrame, files: DataFrame) -> Snapshot:
         """Take in the records of the listed tiny files and rewrite the partitions that hold too many.
 
         ``records`` as from ``as_records``; ``files`` has ``file_id`` and ``written_at``. A partition is a
         hash bucket of the record key, so a page with very many records spreads over all of them. A bucket
-        with at most ``small_files`` new files that is in the store already stays as it is until more arrive.
+        in the store whose small files, those appended before and the new ones, are at most ``small_files``
+        is not rewritten: its new records are appended as one small file, which the snapshot counts.
         """
         start = self.snapshot()
         dated = records.join(files.select("file_id", "written_at"), "file_id", "left")
         n = start.n_parts or max(1, -(-records.count() * self.row_bytes // self.target_bytes))
         placed = dated.withColumn("part", F.pmod(F.xxhash64(*RECORD), F.lit(n)).cast("int"))
-        counts = placed.groupBy("kind", "part").agg(F.approx_count_distinct("file_id").alias("n")).collect()  # n buckets of two kinds
+        counts = placed.groupBy("kind", "part").agg(F.countDistinct(F.coalesce("file_id", F.lit(-1))).alias("n")).collect()  # n buckets of two kinds
         waiting = {f"{r['kind']}/{r['part']}": r["n"] for r in counts}
-        due = [k for k, v in waiting.items() if v > self.small_files or k not in start.files]
+        due = [k for k, v in waiting.items() if k not in start.files or v + start.files[k] - 1 > self.small_files]
+        later = {k: start.files[k] + 1 for k in waiting if k not in due}
         merged = placed
         if start.version:
-            keys = self.spark.createDataFrame([(k.split("/")[0], int(k.split("/")[1])) for k in due], "kind string, part int")
-            merged = placed.join(F.broadcast(keys), ["kind", "part"], "left_semi").unionByName(self.read().join(F.broadcast(keys), ["kind", "part"], "left_semi").select(placed.columns))
+            keys = self._buckets(due)
+            merged = placed.join(keys, ["kind", "part"], "left_semi").unionByName(self._stored().join(keys, ["kind", "part"], "left_semi").select(placed.columns))
         if self.snapshot().version != start.version:
             raise CommitConflict(f"version {start.version} is no longer the newest")
-        snap = Snapshot(start.version + 1, n, {**start.files, **{k: 1 for k in due}})
+        snap = Snapshot(start.version + 1, n, {**start.files, **{k: 1 for k in due}, **later})
         result = deduplicate(merged)
         if start.version:  # the old files of these buckets are read while they are replaced: stage first
-            stage = f"{self.root}/_stage-{snap.version}"
-            result.write.parquet(stage)
-            result = self.spark.read.schema(result.schema).parquet(stage)
+            result = self._staged(result, f"_stage-{snap.version}")
+        if later:
+            added = self._staged(deduplicate(placed.join(self._buckets(list(later)), ["kind", "part"], "left_semi")), f"_stage-{snap.version}-added")
         self._commit(snap)
         if due:
-            (
-                result.repartition(max(1, 2 * n), "kind", "part")
-                .write.option("partitionOverwriteMode", "dynamic")
-                .mode("overwrite")
-                .partitionBy("kind", "part")
-                .parquet(f"{self.root}/data")
-            )
+            self._write(result.repartition(max(1, 2 * n), "kind", "part"), "overwrite")
+        if later:
+            self._write(added.repartition(max(1, 2 * n), "kind", "part"), "append")
         return snap
+
+    def _staged(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.root}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
+
+    def _write(self, df: DataFrame, mode: str) -> None:
+        """One file a bucket, as all its rows are in one task."""
+        df.write.option("partitionOverwriteMode", "dynamic").mode(mode).partitionBy("kind", "part").parquet(f"{self.root}/data")

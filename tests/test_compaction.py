@@ -56,6 +56,19 @@ def test_only_partitions_with_new_files_are_rewritten(spark):
     assert store.compact(more, files2).version == 3 and store.read().count() == 401  # again: nothing twice
 
 
+def test_one_file_per_run_reaches_the_store(spark):
+    store = CompactStore(spark, shared_dir(spark, "t"))
+    counted = []
+    for i in range(5):
+        records, files = tables(spark, [(i, 0, "a", i, "text", "OCR:", f"c{i}.png", None), (i, 1, "a", i, "text", "OCR:", "same.png", None)], [], [(i, day(i + 1))])
+        snap = store.compact(records, files)
+        counted.append(snap.files["manifest/0"])
+        assert names(store.read()) == [("manifest", "a", f"c{j}.png") for j in range(i + 1)] + [("manifest", "a", "same.png")]
+        assert store.read().where("item = 'same.png'").first().read_order == i
+        assert spark.read.parquet(f"{store.root}/data").selectExpr("_metadata.file_path").distinct().count() == counted[-1]
+    assert counted == [1, 2, 1, 2, 1]  # appended, then rewritten once there are too many
+
+
 def test_conflict_is_refused(spark):
     records, files = tables(spark, [(1, 0, "a", 1, "text", "OCR:", "c.png", None)], [], [(1, day(1))])
     store = CompactStore(spark, shared_dir(spark, "t"))
