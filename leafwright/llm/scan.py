@@ -322,6 +322,9 @@ _ACCENTED = "ÀÁÂÃÄÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜàáâãäçèéê
 _PLAIN = "AAAAACEEEEIIIINOOOOOUUUUaaaaaceeeeiiiinooooouuuuиеИЕ"
 
 
+_ODD = r"[^\p{L}]"
+
+
 def plain(c):
     return F.translate(c, _ACCENTED, _PLAIN)
 
@@ -348,18 +351,31 @@ def _met(counts: DataFrame, frequent: DataFrame, keys, ratio: float) -> DataFram
     return met.groupBy("bad", "good").agg(F.max("nb").alias("nb"), F.max("ng").alias("ng"))
 
 
+def _holes(most: int):
+    """Keys of the column ``w``: the word with one place, of one or of two characters, left open."""
+    at = f"sequence(0, {most - 1})"
+    keys = [f"transform(filter({at}, i -> i + {n} <= length(w) and length(w) > {n}), i -> concat(substring(w, 1, i), '_', substring(w, i + {n + 1})))" for n in (1, 2)]
+    return F.expr(f"concat({', '.join(keys)})")
+
+
 def candidates(counts: DataFrame, frequent: DataFrame) -> DataFrame:
-    """(bad, good, nb, ng, distance, swap): rare words with frequent ones that share a positional q-gram.
+    """(bad, good, nb, ng, distance, swap, ends): rare words with frequent ones of the same keys.
 
-    One misread place leaves the first or the last ``GRAM`` characters of a word, and both outer characters
-    of a Han window; these are the join keys. ``frequent`` has at most 1 / FREQUENT_SHARE rows. A change of
-    case or accents only, or of a letter more or less, is no misreading.
+    A misread place of one or two characters leaves the first or the last ``GRAM`` characters of a word of more
+    than 2 * GRAM whole, and both outer characters of a Han window; these are the join keys. Shorter words, from two
+    characters on, also meet by what is left around the place. ``ends`` tells that the outer characters met.
+    ``frequent`` has at most 1 / FREQUENT_SHARE rows. A change of case or accents only, or of a letter more or
+    less, is no misreading.
     """
     long = ~_is_han() & (F.length("w") > GRAM)
+    short = ~_is_han() & F.length("w").between(2, 2 * GRAM)
     ends = F.array(F.concat(F.lit("p"), F.substring("w", 1, GRAM)), F.concat(F.lit("s"), F.expr(f"right(w, {GRAM})")))
     outer = F.array(F.concat(F.substring("w", 1, 1), F.substring("w", 3, 1)))
-    met = _met(counts.where(long), frequent.where(long), ends, RARE_RATIO).where(plain(F.lower("bad")) != plain(F.lower("good")))
-    met = met.unionByName(_met(counts.where(_is_han()), frequent.where(_is_han()), outer, RARE_RATIO_HAN))
+    by_ends = _met(counts.where(long), frequent.where(long), ends, RARE_RATIO).withColumn("ends", F.lit(True))
+    by_hole = _met(counts.where(short), frequent.where(short), _holes(2 * GRAM), RARE_RATIO).withColumn("ends", F.lit(False))
+    met = by_ends.unionByName(by_hole).groupBy("bad", "good").agg(*[F.max(c).alias(c) for c in ("nb", "ng", "ends")])
+    met = met.where(plain(F.lower("bad")) != plain(F.lower("good")))
+    met = met.unionByName(_met(counts.where(_is_han()), frequent.where(_is_han()), outer, RARE_RATIO_HAN).withColumn("ends", F.lit(True)))
     near = met.withColumn("distance", F.levenshtein("bad", "good", 2)).where("distance between 1 and 2")
     return near.withColumn("swap", _swap("bad", "good")).where(~F.col("swap").rlike("^>|>$"))
 
@@ -375,24 +391,27 @@ def edge_windows(counts: DataFrame, frequent: DataFrame, wrong: DataFrame) -> Da
 def misreadings(counts: DataFrame, frequent: DataFrame) -> DataFrame:
     """(bad, good): the replacements that the ranker accepts, one per misread form."""
     pairs = through_disk(candidates(counts, frequent), "pairs")
-    support = pairs.groupBy("swap").agg(F.countDistinct("good").alias("support"))
+    # short words differ in one letter by chance: only longer ones, or a sign within a word, speak for a swap
+    speaks = F.col("ends") | ((F.length("good") > GRAM) & F.col("bad").rlike(_ODD))
+    support = pairs.where(speaks).groupBy("swap").agg(F.countDistinct("good").alias("support"))
     rated = pairs.join(support, "swap").select(
+        "ends",
         "bad",
         "good",
         F.log((F.col("ng") + 1) / (F.col("nb") + 0.5)).alias("ratio"),
         F.col("distance").cast("double").alias("distance"),
         F.length("good").cast("double").alias("size"),
         F.log1p("support").alias("support"),
-        F.col("bad").rlike(r"[^\p{L}]").cast("double").alias("odd"),
+        F.col("bad").rlike(_ODD).cast("double").alias("odd"),
         F.col("bad").rlike(r"^\p{Lu}").cast("double").alias("capital"),
         F.col("good").rlike(f"^[{_HAN}]{{3}}$").cast("double").alias("han"),
         F.xxhash64("bad", "good").alias("h"),
     )
-    total = pairs.count()
+    total, plenty = pairs.agg(F.count(F.lit(1)), F.count_if("ends")).first()
     if not total:
         return rated.select("bad", "good")
-    share = min(1.0, TRAINING_PAIRS / total)
-    train = rated.where(F.pmod("h", F.lit(1_000_000)) < int(share * 1_000_000)).toPandas().sort_values(["bad", "good"])
+    share = min(1.0, TRAINING_PAIRS / max(1, plenty))
+    train = rated.where("ends").where(F.pmod("h", F.lit(1_000_000)) < int(share * 1_000_000)).toPandas().sort_values(["bad", "good"])
     ranker = _fit_ranker(train)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

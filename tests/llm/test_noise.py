@@ -1,6 +1,7 @@
 """Problems 1 to 4, 6 and 10 on small planted cases."""
 
 import random
+import re
 
 import pytest
 
@@ -303,6 +304,25 @@ def test_misread_words_are_found_through_frequent_ones(spark):
     assert scan.noisy(df.limit(0)).count() == 0
 
 
+def test_one_misread_place_at_every_length_is_a_candidate(spark):
+    goods = ["of", "for", "plan", "shown", "corner", "matters", "quarters"]
+    bads = {}
+    for g in goods:
+        for i in range(len(g)):
+            bads[g[:i] + "0" + g[i + 1 :]] = g
+            if len(g) > 2:
+                bads[g[:i] + "xy" + g[i + 1 :]] = g
+                bads.setdefault(g[:i] + "z" + g[i + 2 :], g)
+    bads = {b: g for b, g in bads.items() if b not in goods}
+    counts = spark.createDataFrame([(g, 1000) for g in goods] + [(b, 1) for b in bads], "w string, n long").repartition(3)
+    got = {(r.bad, r.good) for r in scan.candidates(counts, counts.where("n = 1000")).collect()}
+    missed = {(b, g) for b, g in bads.items() if (b, g) not in got and not re.search("^>|>$", scan._difference(b, g))}
+    assert not missed
+    goods = ["for", "shown", "lost", "room", "word", "book"]
+    counts = spark.createDataFrame([(g, 1000) for g in goods] + [(g.replace("o", "0", 1), 1) for g in goods], "w string, n long")
+    assert {r.bad: r.good for r in scan.misreadings(counts, counts.where("n = 1000")).collect()} == {g.replace("o", "0", 1): g for g in goods}
+
+
 def test_difference_and_boosting():
     import numpy as np
 
