@@ -12,6 +12,7 @@ bytes were lost is found, with as much restored as decodes.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,8 +34,10 @@ PREFER_UTF8 = 3.0
 ONE_BYTE_FLOOR, ONE_BYTE_GAIN = -6.0, 3.2
 #: Once a chain is accepted in a record, its other chunks need this gain only.
 FOLLOWING_GAIN = 0.3
-#: Clean chunks used to validate margin and floor (a bound, so that the driver's work stays the same at any size).
-VALIDATION_CHUNKS = 4000
+#: Histograms of scores and gains: bins a unit, those for the best gain of a record, and the value beyond which all count alike.
+BINS, TOP_BINS, FARTHEST = 50, 4, 40
+#: Chunks whose ratings a task keeps, and characters of chunks rated at once.
+HELD_CHUNKS, HELD_CHARS = 200_000, 200_000
 #: The encodings tried, as (bytes are what X encodes, read them as Y).
 CHAINS = (
     ("cp1252", "utf-8"),
@@ -137,6 +140,22 @@ class BigramModel:
             a, b = a[high], b[high]
         return float(np.log(self.prob(a, b)).mean())
 
+    def scores(self, texts: list[str]) -> np.ndarray:
+        """``score`` of each of many texts."""
+        if not texts:
+            return np.zeros(0)
+        c = _codes("".join(f" {t} " for t in texts))
+        a, b = c[:-1], c[1:]
+        size = np.array([len(t) + 2 for t in texts])
+        owner = np.repeat(np.arange(len(texts)), size)[:-1]
+        high = (a > 127) | (b > 127)  # never between two texts, as both sides are blanks
+        logs = np.log(self.prob(a[high], b[high])).astype(np.float64)
+        n = np.bincount(owner[high], minlength=len(texts))
+        out = np.bincount(owner[high], logs, minlength=len(texts)) / np.maximum(n, 1)
+        for i in np.nonzero(n == 0)[0]:
+            out[i] = self.score(texts[i])
+        return out
+
     def improbable(self, text: str) -> np.ndarray:
         """Where bigrams with a character beyond ASCII start that the model finds improbable."""
         c = _codes(text)
@@ -173,32 +192,88 @@ def count_pairs(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def train(df: DataFrame, text: str = "text") -> BigramModel:
-    """The model over all clean records, with margin and floor validated on a bounded number of clean chunks."""
+    """The model over all clean records, with margin and floor validated on their chunks."""
     counts = count_pairs(df, text).toPandas()  # bounded by the number of slots
     pairs, singles = np.zeros(1 << BITS, np.float32), np.zeros(1 << UNI_BITS, np.float32)
     slot, n = counts["slot"].to_numpy(np.int64), counts["n"].to_numpy(np.float32)
     pairs[slot[slot >= 0]] = n[slot >= 0]
     singles[-1 - slot[slot < 0]] = n[slot < 0]
     model = BigramModel(pairs, singles)
-    sample = [r[0] for r in df.select(F.substring(text, 1, 2000)).where(F.col(text).rlike(r"[^\x00-\x7f]")).limit(400).collect()]
-    chunks = [w for t in sample if t and not _SIGN.search(t) for w in regex.findall(r"[^ \n\t]+", t) if regex.search(r"[^\x00-\x7f]", w)][:VALIDATION_CHUNKS]
-    if chunks:
-        own = np.array([model.score(w[:200]) for w in chunks])
-        gains, helped = [], []
-        for w, s in zip(chunks[:1000], own):
-            tried = [model.score(x) for x, _ in candidates(w[:200])]
-            gains.append(max(tried, default=-99.0) - s)
-            for c in (("utf-8", "cp1252"), ("utf-8", "cp1251")):  # garble it and see what repair would gain
-                bad = apply_chain(w[:200], c)
-                if bad:
-                    helped.append(s - model.score(bad))
-        most = float(np.quantile(gains, 0.999)) if gains else 0.0
-        usual = float(np.quantile(helped, 0.02)) if helped else 3.0
+    shared = df.sparkSession.sparkContext.broadcast((pairs, singles))
+    hist: dict[str, list[tuple[int, int, int]]] = {k: [] for k in ("own", "gain", "helped")}
+    for r in rate_chunks(df, shared, text).collect():  # bounded by the numbers of bins
+        hist[r["kind"]].append((r["top"], r["bin"], r["n"]))
+    usual = _quantile(hist["helped"], 0.02) if hist["helped"] else 3.0
+    # a record of which some chunk gains half of what repair usually gains is taken for garbled, though it shows no sign
+    own, gain = ([x for x in hist[k] if x[0] < usual / 2 * TOP_BINS] for k in ("own", "gain"))
+    if own:
+        most = _quantile(gain, 0.999)
         model.margin = min(max(1.0, most + 0.25), max(1.0, (most + usual) / 2))
-        model.floor = float(np.quantile(own, 0.003)) - 0.5
+        model.floor = _quantile(own, 0.003) - 0.5
     return model
 
 
+def _quantile(hist: list[tuple[int, int, int]], q: float) -> float:
+    """The value at the share ``q`` of (top, bin, n)."""
+    _, at, n = zip(*sorted(hist, key=lambda x: x[1]))
+    upto = np.cumsum(n)
+    return at[int(np.searchsorted(upto, q * (upto[-1] - 1), side="right"))] / BINS
+
+
+def _rate(chunks: list[str], model: BigramModel) -> Iterator[tuple[int, int, list[int]]]:
+    """(own, gain, helped) of each chunk, in bins."""
+    every, ends = [], []
+    for w in chunks:
+        every += [w, *(x for x, _ in candidates(w))]
+        tried = len(every)
+        every += [bad for c in (("utf-8", "cp1252"), ("utf-8", "cp1251")) if (bad := apply_chain(w, c))]  # garble it
+        ends.append((tried, len(every)))
+    scores, at = model.scores(every), 0
+    for tried, end in ends:
+        own, others = scores[at], scores[at + 1 : tried]
+        gain = others.max() - own if len(others) else -FARTHEST
+        yield tuple(np.rint(np.clip([own, gain, *(own - scores[tried:end])], -FARTHEST, FARTHEST) * BINS).astype(int).tolist())
+        at = end
+
+
+def rate_chunks(df: DataFrame, shared, text: str = "text") -> DataFrame:
+    """(kind, top, bin, n): histograms over every chunk beyond ASCII of all records without a sign.
+
+    ``own`` is a chunk's score, ``gain`` what the best chain adds to it, ``helped`` what repair would gain if it
+    had been garbled; ``top`` is the best gain in its record. A task adds up its whole partition and keeps the
+    ratings of chunks that it met; no rating depends on the order or the partition of the records.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = BigramModel(*shared.value)
+        known: dict[str, tuple[int, ...]] = {}
+        hist: Counter[tuple[str, int, int]] = Counter()
+        for b in batches:
+            records = [[w for w in t.split() if not w.isascii()] for t in b.column(0).to_pylist() if t and not t.isascii() and not _SIGN.search(t)]
+            if len(known) > HELD_CHUNKS:
+                known.clear()
+            new, size = [], 0
+            for w in {w: None for r in records for w in r if w not in known}:
+                new.append(w)
+                size += len(w)
+                if size > HELD_CHARS:
+                    known.update(zip(new, _rate(new, model)))
+                    new, size = [], 0
+            known.update(zip(new, _rate(new, model)))
+            for r in records:
+                rated = [known[w] for w in r]
+                top = max((g for _, g, *_ in rated), default=0) * TOP_BINS // BINS
+                for own, gain, *helped in rated:
+                    hist["own", top, own] += 1
+                    hist["gain", top, gain] += 1
+                    for h in helped:
+                        hist["helped", 0, h] += 1
+        kinds, tops, bins = zip(*hist) if hist else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(tops, pa.int64()), pa.array(bins, pa.int64()), pa.array(hist.values(), pa.int64())], ["kind", "top", "bin", "n"])
+
+    return df.select(df[text].alias("t")).mapInArrow(run, "kind string, top bigint, bin bigint, n bigint").groupBy("kind", "top", "bin").agg(F.sum("n").alias("n"))
+
+
 def candidates(chunk: str) -> Iterator[tuple[str, str]]:
     """Every distinct result of one chain, or of UTF-8 chains twice, with the chain's name; UTF-8 chains first."""
     seen = set()

@@ -34,6 +34,17 @@ def garble(text, enc, dec):
     return "".join(chr(b) if (c := bytes([b]).decode(dec, "ignore")) == "" else c for b in text.encode(enc, "replace")) if dec in ("cp1252", "cp1251") else text.encode(enc, "replace").decode(dec, "replace")
 
 
+def test_thresholds_of_decoding_come_from_all_records_in_any_order(spark):
+    texts = [t for lang in ("fr", "ru") for t in paragraphs(450, seed=6, langs=(lang,))]
+    one, other = (spark.createDataFrame(list(enumerate(x)), "doc_id long, text string") for x in (texts, texts[::-1]))
+    a, b, c = (mojibake.train(df) for df in (one.coalesce(1), other.coalesce(1), one.repartition(5)))
+    assert (a.margin, a.floor) == (b.margin, b.floor) == (c.margin, c.floor)
+    words = [w for t in texts if not mojibake._SIGN.search(t) for w in t.split() if not w.isascii()]
+    rated = mojibake.rate_chunks(one, spark.sparkContext.broadcast((a.pairs, a.singles))).where("kind = 'own'").collect()
+    assert sum(r.n for r in rated) == len(words)
+    assert abs(sum(r.n * r.bin for r in rated) / mojibake.BINS / len(words) - sum(map(a.score, words)) / len(words)) < 0.02
+
+
 def test_garbled_texts_are_found_and_restored(spark):
     clean = paragraphs(400)
     rows = [(i, t) for i, t in enumerate(clean)]
