@@ -1,8 +1,8 @@
 """Problem 6: texts that were cut off.
 
 Per source, the histograms of text lengths in characters and in bytes are tested for a spike at the
-maximum: a length that very many values share while almost none are longer. Values at a spike length that
-do not end as their kind of text should are cut. A transfer that broke off leaves no spike; such values
+maximum: a length that very many values share while almost none are longer. Values at a spike length without
+an end mark, or the closing of their kind, are cut, whatever their last line looks like. A transfer that broke off leaves no spike; such values
 are found by their ending alone: prose within a sentence, a table within a row, a formula with something
 still open. Furniture of scanned pages and closing markup after the last sentence are looked past.
 
@@ -98,6 +98,25 @@ def formula_cut(text: str) -> bool:
     return bool(_OPERATOR.search(t)) or t.count("(") > t.count(")")
 
 
+def unclosed(kind: str | None, text: str) -> bool:
+    """True if a text at a length limit lacks the end mark or closing of its class."""
+    if kind is None or kind in PROSE:
+        t = text.rstrip()
+        return bool(t) and not _ENDED.search(t) and not _CELLS.search(t) and not _ended_in_markup(t)
+    return is_cut(kind, text)
+
+
+def _ended_in_markup(t: str) -> bool:
+    for _ in range(4):
+        shorter = _CLOSING.sub("", t)
+        if shorter == t:
+            return False
+        t = shorter.rstrip()
+        if not t or _ENDED.search(t):
+            return True
+    return False
+
+
 def is_cut(kind: str | None, text: str) -> bool:
     """True if a text of this class stops before its end."""
     if kind is None or kind in PROSE:
@@ -137,7 +156,7 @@ def length_spikes(df: DataFrame, text: str = "text", source: str = "source") ->
 
 
 def cut_rows(df: DataFrame, key: str = "result_id", text: str = "text", source: str = "source", kind: str = "class") -> DataFrame:
-    """(key, source, at_limit) of the rows that were cut; ``at_limit`` tells a length limit from a broken transfer."""
+    """(key, source, at_limit) of the rows that were cut; ``at_limit`` tells those of the histogram from those of the ending."""
     spikes = length_spikes(df, text, source)
     limits = spikes.groupBy("source").agg(F.max(F.when(F.col("unit") == "char", F.col("at"))).alias("lim_c"), F.max(F.when(F.col("unit") == "byte", F.col("at"))).alias("lim_b"))
     rows = df.where(F.length(text) > 0).select(F.col(key).alias("k"), F.col(source).alias("source"), F.col(kind).alias("cls"), F.col(text).alias("t"))
@@ -149,7 +168,7 @@ def cut_rows(df: DataFrame, key: str = "result_id", text: str = "text", source:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            keep = [is_cut(c, t) for c, t in zip(x.column(2).to_pylist(), x.column(3).to_pylist())]
+            keep = [(unclosed if at else is_cut)(c, t) for c, t, at in zip(*(x.column(i).to_pylist() for i in (2, 3, 4)))]
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([x.column(i).filter(mask) for i in (0, 1, 4)], ["k", "source", "at_limit"])
 

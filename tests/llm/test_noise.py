@@ -264,6 +264,17 @@ def test_length_spikes_and_broken_transfers(spark):
 # problem 4
 
 
+def test_values_at_a_spike_are_cut_whatever_their_last_line_looks_like(spark):
+    def fill(end, size=200):
+        return ("The old wall. " * size)[: size - len(end) - 1] + "x" + end
+
+    rows = [(i, fill(" and so on"), "limited", "text") for i in range(40)] + [(100, fill(" by a wide margin.\nT"), "limited", "text"), (101, fill(" in spring.\n\nI"), "limited", "text")]
+    rows += [(200, fill(" it ends here."), "limited", "text"), (201, fill(" it ends.</p>"), "limited", "text"), (202, fill(" in spring.\n\nI", 150), "limited", "text")]
+    df = spark.createDataFrame(rows, "result_id long, text string, source string, class string")
+    got = {r.result_id: r.at_limit for r in cutoff.cut_rows(df).collect()}
+    assert got == {**dict.fromkeys(range(40), True), 100: True, 101: True}
+
+
 @pytest.fixture(scope="module")
 def lines():
     return scan.LineModels.fit([])
