@@ -1,12 +1,10 @@
-"""Problem 1: markup residue, by deduction of templates from equivalence classes.
-
-Every text is a page, its source the host. The signs that could belong to a template are cut out as tokens
-and told apart by role: what they are, and whether they open and close in balance on their page. For each
-host and token the occurrence vector, how often it occurs on which page, is condensed into a fingerprint
-that adds up on the map side. Tokens of one host with equal vectors form an equivalence class; a class of
-two tokens or more that are nested on every page, or a separator between slots that differ from page to
-page, belongs to the template. A text has residue if it holds a token of the template, whole or, as an
-unbalanced role of the same token, in pieces. What lies between the tokens are the slots: the clean text.
+"""Problem 1: markup residue, by patterns of signs with a filter over pages.
+
+Every text is a page, its source the host. The signs that could be markup are cut out as tokens by a fixed list
+of patterns and told apart by role: what they are, and whether they open and close in balance on their page.
+A pair counts if it is balanced, and a separator if it occurs, on two pages of a host or of all hosts together.
+A text has residue if it holds such a token, whole or, as an unbalanced role of the same token, in pieces. The
+clean text is made by regular expressions. Templates, their nesting and slots are not deduced.
 
 A class's own form is no residue: OTSL tags in tables, LaTeX in formulas, ``|`` rows in charts, program
 text in algorithms. Plain signs (``a < b``, ``R&D``, ``#4``, ``[7]``, paths, prices) are no tokens.
