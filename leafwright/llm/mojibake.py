@@ -1,20 +1,27 @@
 """Problem 10: text decoded with a wrong character encoding.
 
-Smoothed character bigram models are trained on the records that show no sign of garbling. A record is then
-cut at blanks; every chunk that holds a bigram the model finds improbable is put through all encode-decode
-chains, and the likeliest result replaces the chunk if it beats the chunk as it stands by more than a
-margin. The margin and a floor are validated on clean chunks: what chains gain on them at most must not be
-accepted. Replacement characters of lost bytes are garbling that cannot be undone.
+A smoothed character trigram model is trained on the records that show no sign of garbling. A record is then
+cut at blanks; every chunk that holds a character the model finds improbable where it stands is put through
+all encode-decode chains, each of them twice where both steps decode. The likeliest result of a chunk is held
+against the chunk as it stands, by log likelihood; a chain is accepted in a record if its chunks together gain
+more than a margin. Margin and floor are validated on the chunks of the clean records: what chains gain there
+must not be accepted. Records that show no sign but gain as garbled ones do are taken out of the counts
+again. Replacement characters of lost bytes and controls of the C1 range are garbling that cannot be undone.
+
+The counts lie in tables of a fixed size, by two hashes of which the smaller count holds; what collisions add
+to half of all places is taken off, so that a growing corpus does not make everything probable.
 
 Defined results: null, empty and purely ASCII texts are unaffected and come out as they are; a text whose
-bytes were lost is found, with as much restored as decodes.
+bytes were lost is found, with as much restored as decodes. No result depends on the order or the partition
+of the records.
 """
 
 from __future__ import annotations
 
+import codecs
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -22,21 +29,25 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BITS, UNI_BITS = 20, 16
+#: Bits of the tables of trigrams and pairs (each twice, by two hashes) and of characters.
+TRI_BITS, PAIR_BITS, UNI_BITS = 21, 20, 16
 SMOOTHING = 2.0
-#: A bigram with at least one character beyond ASCII is improbable below this conditional probability.
-IMPROBABLE = 3e-4
+#: A character is improbable where it stands below this conditional probability.
+IMPROBABLE = 1e-2
+#: The share of a character's occurrences at the beginning of a chunk, where nothing is known of it.
+FIRST = 0.15
 #: Decodings in which few byte sequences are valid, so that decoding at all speaks for the chain.
 MANY_BYTES = ("utf-8", "gb18030")
-#: In the choice between chains, how much a valid UTF-8 sequence is worth.
-PREFER_UTF8 = 3.0
-#: A chain between one-byte code pages needs this score at least, and this gain over all its chunks of the record.
-ONE_BYTE_FLOOR, ONE_BYTE_GAIN = -6.0, 3.2
+#: The margin is this at least: what all chunks of a record together must gain by one chain, in nats.
+LEAST_MARGIN = 4.0
+#: What a chain must gain before it counts, in nats: for a step between code pages of one byte, where decoding proves
+#: nothing, for a second step, and for a chunk of one character, which stands in no context.
+ONE_BYTE_COST, SECOND_COST, ALONE_COST = 1.0, 2.0, 4.0
 #: Once a chain is accepted in a record, its other chunks need this gain only.
-FOLLOWING_GAIN = 0.3
-#: Histograms of scores and gains: bins a unit, those for the best gain of a record, and the value beyond which all count alike.
-BINS, TOP_BINS, FARTHEST = 50, 4, 40
-#: Chunks whose ratings a task keeps, and characters of chunks rated at once.
+FOLLOWING_GAIN = 0.7
+#: Bins a nat and the value beyond which all count alike, of the histograms; bins a nat of a record's best gain.
+BINS, TOP_BINS, FARTHEST = 20, 4, 60
+#: Chunks whose results a task keeps, and characters of texts rated at once.
 HELD_CHUNKS, HELD_CHARS = 200_000, 200_000
 #: The encodings tried, as (bytes are what X encodes, read them as Y).
 CHAINS = (
@@ -61,12 +72,14 @@ CHAINS = (
     ("mac_roman", "cp1252"),
     ("cp1252", "mac_roman"),
     ("cp1252", "cp850"),
+    ("cp1252", "cp437"),
     ("cp1250", "cp1252"),
     ("mac_cyrillic", "cp1251"),
     ("cp1251", "mac_cyrillic"),
 )
 #: Signs that keep a record out of training: C1 controls, private use, replacement, lead and trail byte pairs.
-_SIGN = regex.compile(r"[\u0080-\u009f�-]|[Â-ô][\u0080-¿]|[ÃÂâ][^\x00-\x7fa-zA-Z]|[РС][Ђ-Џђ-џ‘-› -¿]")
+_SIGN = regex.compile(r"[\u0080-\u009f-�]|[Â-ô][\u0080-¿]|[ÃÂâ][^\x00-\x7fa-zA-Z]|[РС][Ђ-Џђ-џ‘-› -¿]")
+_CONTROLS = regex.compile(r"[\u0080-\u0084\u0086-\u009f]")
 
 
 def _sloppy(name: str) -> dict[int, int]:
@@ -81,134 +94,307 @@ def _sloppy(name: str) -> dict[int, int]:
 
 
 _TO_BYTES = {n: _sloppy(n) for n in ("cp1252", "cp1251", "cp1250")}
+#: The same without the controls that stand for defined bytes, as the fast maps of the codecs module.
+_FAST = {n: codecs.charmap_build("".join(bytes([b]).decode(n, "ignore") or chr(b) for b in range(256))) for n in _TO_BYTES}
+
+
+def _encodable(name: str) -> frozenset[str]:
+    if name in _TO_BYTES:
+        return frozenset(map(chr, (*range(256), *_TO_BYTES[name])))
+    return frozenset(bytes(range(256)).decode(name, "ignore"))
+
+
+_ENCODABLE = {enc: _encodable(enc) for enc, _ in CHAINS if enc != "gb18030"}
 
 
 def apply_chain(text: str, chain: tuple[str, str]) -> str | None:
     enc, dec = chain
     try:
         if enc in _TO_BYTES:
-            data = text.translate(_TO_BYTES[enc]).encode("latin-1")
+            data = text.translate(_TO_BYTES[enc]).encode("latin-1") if _CONTROLS.search(text) else codecs.charmap_encode(text, "strict", _FAST[enc])[0]
         else:
             data = text.encode(enc)
         out = data.decode(dec)
     except (UnicodeError, ValueError):
         return None
-    return out if out != text and "�" not in out else None
+    return out if out != text and "\ufffd" not in out else None
 
 
-def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+def candidates(chunk: str) -> Iterator[tuple[str, str]]:
+    """Every distinct result of one chain, or of two after a decoding of many bytes, with the chain's name."""
+    seen = {chunk}
+
+    def step(text: str, before: str) -> Iterator[tuple[str, str]]:
+        here = set(text)
+        for c in CHAINS:
+            if c[0] in _ENCODABLE and not here <= _ENCODABLE[c[0]]:
+                continue
+            x = apply_chain(text, c)
+            if x is not None and x not in seen:
+                seen.add(x)
+                name = f"{before}{c[0]}>{c[1]}"
+                yield x, name
+                if not before and c[1] in MANY_BYTES:
+                    yield from step(x, name + ">")
+
+    return step(chunk, "")
+
+
+def cost(name: str, chunk: str) -> float:
+    """What the gain of a chain is lessened by."""
+    readers = name.split(">")[1::2]
+    alone = ALONE_COST if len(chunk) == 1 and readers[0] not in MANY_BYTES else 0.0
+    return alone + ONE_BYTE_COST * sum(r not in MANY_BYTES for r in readers) + SECOND_COST * (len(readers) - 1)
 
 
-def _hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return ((first * np.uint32(0x9E3779B1)) ^ (second * np.uint32(0x85EBCA6B))) >> np.uint32(32 - BITS)
+# the model
 
+_TRI, _PAIR = 1 << TRI_BITS, 1 << PAIR_BITS
+#: Where each table begins in the flat array of counts: trigrams twice, pairs twice, characters.
+_AT = np.cumsum([0, _TRI, _TRI, _PAIR, _PAIR, 1 << UNI_BITS])
+SLOTS = int(_AT[-1])
+_M = tuple(np.uint32(x) for x in (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1, 0xD3A2646D))
 
-def _pair(c: np.ndarray) -> np.ndarray:
-    return _hash(c[:-1], c[1:])
 
+def _codes(text: str) -> np.ndarray:
+    """Code points with line breaks as blanks; a lone surrogate counts as a question mark."""
+    c = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).copy()
+    c[c == 10] = 32
+    return c
+
+
+def _pair_slots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    s = np.uint32(32 - PAIR_BITS)
+    x = (a * _M[0]) ^ (b * _M[1])
+    y = (a * _M[4] + b) * _M[5]
+    return ((x >> s) + np.uint32(_AT[2])), (((y ^ (y >> np.uint32(15))) * _M[2] >> s) + np.uint32(_AT[3]))
+
+
+def _tri_slots(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    s = np.uint32(32 - TRI_BITS)
+    x = ((a * _M[0]) ^ (b * _M[1])) * _M[2] + c * _M[3]
+    y = ((a * _M[4] + b) * _M[5] + c) * _M[1]
+    return x >> s, (((y ^ (y >> np.uint32(15))) * _M[0] >> s) + np.uint32(_AT[1]))
+
+
+def _uni_slots(c: np.ndarray) -> np.ndarray:
+    return ((c ^ (c >> np.uint32(16))) & np.uint32((1 << UNI_BITS) - 1)) + np.uint32(_AT[4])
+
+
+class Counts:
+    """Counts of one task, added up in the flat array."""
+
+    def __init__(self) -> None:
+        self.flat = np.zeros(SLOTS, np.int64)
+        self.ascii = np.zeros(1 << 14, np.int64)
+        self.waiting: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, c: np.ndarray) -> None:
+        """Count the texts in ``c``, which begins and ends with two blanks."""
+        a, b, d = c[:-2], c[1:-1], c[2:]
+        low = (b < 128) & (d < 128)
+        self.ascii += np.bincount((b[low] << np.uint32(7)) | d[low], minlength=1 << 14)
+        high = ~low
+        self.waiting += [*_pair_slots(b[high], d[high]), _uni_slots(d)]
+        three = np.nonzero((high | (a > 127)) & (b != 32))[0]
+        self.waiting += _tri_slots(a[three], b[three], d[three])
+        self.size += len(c)
+        if self.size > 1_000_000:
+            self.flush()
+
+    def flush(self) -> None:
+        if self.waiting:
+            self.flat += np.bincount(np.concatenate(self.waiting), minlength=SLOTS)
+        self.waiting, self.size = [], 0
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray]:
+        """(slots, counts) of all that is not zero."""
+        self.flush()
+        pairs = np.nonzero(self.ascii)[0].astype(np.uint32)
+        for slots in _pair_slots(pairs >> np.uint32(7), pairs & np.uint32(127)):
+            np.add.at(self.flat, slots, self.ascii[pairs])
+        at = np.nonzero(self.flat)[0]
+        return at, self.flat[at]
+
+
+def flat_table(slots: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The counts as one array; what half of a table's places hold by collisions alone is taken off that table."""
+    flat = np.zeros(SLOTS, np.float32)
+    flat[slots] = n
+    for begin, end in zip(_AT[:4], _AT[1:5]):
+        half = np.median(flat[begin:end])
+        if half:
+            flat[begin:end] = np.maximum(flat[begin:end] - half, 0)
+    return flat
+
+
+@dataclass
+class Chunked:
+    """Texts cut at blanks: where each chunk with a character beyond ASCII begins and ends, its text, its log likelihood."""
 
-def _single(c: np.ndarray) -> np.ndarray:
-    return (c ^ (c >> np.uint32(16))) & np.uint32((1 << UNI_BITS) - 1)
+    text: str
+    start: np.ndarray
+    end: np.ndarray
+    owner: np.ndarray
+    total: np.ndarray
+    n: np.ndarray
+    improbable: np.ndarray
 
 
 @dataclass
-class BigramModel:
-    pairs: np.ndarray  # float32 counts by hashed pair
-    singles: np.ndarray  # float32 counts by hashed character
-    margin: float = 1.0
+class NgramModel:
+    flat: np.ndarray
+    margin: float = LEAST_MARGIN
     floor: float = -12.0
+    known: dict[tuple[str, str, str], tuple[str, str, float, float] | None] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        self.total = float(self.singles.sum()) + 1.0
-        self.choices: dict[tuple[str, str, str], tuple[str, str, float] | None] = {}
+        self.all = float(self.flat[_AT[4] :].sum()) + 1.0
+
+    def _least(self, slots: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """A count without the occurrence at hand: the text under test was counted too."""
+        return np.maximum(np.minimum(self.flat[slots[0]], self.flat[slots[1]]) - 1.0, 0.0)
 
-    def prob(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """P(second | first), smoothed towards the frequency of the second.
+    def logs(self, a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.ndarray:
+        """log P(d | a, b), smoothed towards P(d | b) and that towards the frequency of d.
 
-        A pair's own occurrence does not speak for it: the text under test was counted too.
+        After a blank it is the share of d's occurrences that follow one, as what follows a blank tells of the mix
+        of languages only.
         """
-        back = (self.singles[_single(second)] + 0.05) * np.float32(SMOOTHING / self.total)
-        return (np.maximum(self.pairs[_hash(first, second)] - 1.0, 0.0) + back) / (self.singles[_single(first)] + SMOOTHING)
-
-    def score(self, text: str) -> float:
-        """Mean log probability over the pairs that touch a character beyond ASCII, blanks around included."""
-        c = _codes(f" {text} ")
-        a, b = c[:-1], c[1:]
-        high = (a > 127) | (b > 127)
-        if high.any():
-            a, b = a[high], b[high]
-        return float(np.log(self.prob(a, b)).mean())
-
-    def scores(self, texts: list[str]) -> np.ndarray:
-        """``score`` of each of many texts."""
+        k = np.float32(SMOOTHING)
+        alone = self.flat[_uni_slots(d)]
+        back = (alone + 0.05) * np.float32(SMOOTHING / self.all)
+        pair = self._least(_pair_slots(b, d))
+        two = (pair + back) / (self.flat[_uni_slots(b)] + k)
+        three = (self._least(_tri_slots(a, b, d)) + k * two) / (self._least(_pair_slots(a, b)) + k)
+        return np.log(np.where(b == 32, (pair + k * FIRST) / (alone + k), three)).astype(np.float64)
+
+    def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(log likelihood, places) of each text over the places that touch a character beyond ASCII."""
         if not texts:
-            return np.zeros(0)
-        c = _codes("".join(f" {t} " for t in texts))
-        a, b = c[:-1], c[1:]
-        size = np.array([len(t) + 2 for t in texts])
-        owner = np.repeat(np.arange(len(texts)), size)[:-1]
-        high = (a > 127) | (b > 127)  # never between two texts, as both sides are blanks
-        logs = np.log(self.prob(a[high], b[high])).astype(np.float64)
-        n = np.bincount(owner[high], minlength=len(texts))
-        out = np.bincount(owner[high], logs, minlength=len(texts)) / np.maximum(n, 1)
-        for i in np.nonzero(n == 0)[0]:
-            out[i] = self.score(texts[i])
-        return out
-
-    def improbable(self, text: str) -> np.ndarray:
-        """Where bigrams with a character beyond ASCII start that the model finds improbable."""
+            return np.zeros(0), np.ones(0)
+        c = _codes("  " + "  ".join(texts) + "  ")
+        size = np.fromiter(map(len, texts), np.int64, len(texts)) + 2
+        owner = np.repeat(np.arange(len(texts)), size)
+        a, b, d = c[:-2], c[1:-1], c[2:]
+        high = np.nonzero((b > 127) | (d > 127))[0]
+        logs = self.logs(a[high], b[high], d[high])
+        mine = owner[np.minimum(high, len(owner) - 1)]  # a place counts for the text that its last two characters touch
+        return np.bincount(mine, logs, len(texts)), np.maximum(np.bincount(mine, minlength=len(texts)), 1)
+
+    def chunks(self, texts: list[str]) -> Chunked:
+        """The chunks of many texts and what the model says of them."""
+        text = "  " + "  ".join(texts) + "  "
         c = _codes(text)
-        high = c > 127
-        at = np.nonzero(high[:-1] | high[1:])[0]
-        return at[self.prob(c[at], c[at + 1]) < IMPROBABLE] if len(at) else at
-
-
-def count_pairs(df: DataFrame, text: str = "text") -> DataFrame:
-    """(slot, n): counts of hashed pairs (slot >= 0) and characters (slot < 0) of all records without a sign.
-
-    A task adds up its whole partition before it emits, so at most 2**20 + 2**16 rows leave any task.
+        blank = c == 32
+        begins = ~blank[1:] & blank[:-1]
+        number = np.concatenate([[0], np.cumsum(begins)])  # of the chunk that a place lies in or behind
+        a, b, d = c[:-2], c[1:-1], c[2:]
+        high = np.nonzero((b > 127) | (d > 127))[0]
+        logs = self.logs(a[high], b[high], d[high])
+        mine = number[high + 2]
+        total, n = np.bincount(mine, logs), np.bincount(mine)
+        bad = np.bincount(mine[logs < np.log(IMPROBABLE)], minlength=len(n))
+        start = np.nonzero(begins)[0] + 1
+        end = np.nonzero(blank[1:] & ~blank[:-1])[0] + 1
+        keep = np.nonzero(n)[0]
+        edges = np.cumsum([2, *(len(t) + 2 for t in texts)])
+        start, end = start[keep - 1], end[keep - 1]
+        return Chunked(text, start, end, np.searchsorted(edges, start, side="right") - 1, total[keep], n[keep], bad[keep] > 0)
+
+    def decide(self, places: list[tuple[str, str, str]]) -> None:
+        """Find the likeliest result of parts between what surrounds them, where it is not known yet.
+
+        ``known`` then has (text, chain, gain, mean log likelihood) by (before, part, behind).
+        """
+        if len(self.known) > HELD_CHUNKS:
+            self.known.clear()
+        new = [p for p in dict.fromkeys(places) if p not in self.known]
+        every, names, ends = [], [], []
+        for a, part, z in new:
+            every.append(a + part + z)
+            names.append("")
+            for x, name in candidates(part):
+                # chains of one byte leave signs alone nothing to go by
+                if name.endswith(MANY_BYTES) or any(map(str.isalpha, part + x)):
+                    every.append(a + x + z)
+                    names.append(name)
+            ends.append(len(every))
+        total, n = self.scores(every)
+        at = 0
+        for (a, part, z), end in zip(new, ends):
+            self.known[a, part, z] = None
+            if end > at + 1:
+                less = {i: total[i] - cost(names[i], a + part + z) for i in range(at + 1, end)}
+                i = max(less, key=less.get)
+                self.known[a, part, z] = (every[i][len(a) : len(every[i]) - len(z)], names[i], float(less[i] - total[at]), float(total[i] / n[i]))
+            at = end
+
+
+def _groups(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """Slices of the batches with about ``HELD_CHARS`` characters of text, and these texts."""
+    for b in batches:
+        texts = b.column(column).to_pylist()
+        begin = size = 0
+        for i, t in enumerate(texts):
+            size += len(t) if t else 0
+            if size > HELD_CHARS or i + 1 == len(texts):
+                yield b.slice(begin, i + 1 - begin), texts[begin : i + 1]
+                begin, size = i + 1, 0
+
+
+def _beyond(df: DataFrame, text: str) -> DataFrame:
+    """The texts with characters beyond ASCII; the others need no repair, and the test runs in the JVM."""
+    return df.where(F.col(text).rlike(r"[^\x00-\x7f]"))
+
+
+def count_ngrams(df: DataFrame, text: str = "text") -> DataFrame:
+    """(slot, n): counts of the n-grams of all records without a sign, by their places in the flat array.
+
+    A task adds up its whole partition before it emits, so at most ``SLOTS`` rows leave any task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, singles = np.zeros(1 << BITS, np.int64), np.zeros(1 << UNI_BITS, np.int64)
-        for b in batches:
-            held, size = [], 0
-            for t in [*b.column(0).to_pylist(), None]:
-                if t and not _SIGN.search(t):
-                    held.append(t)
-                    size += len(t)
-                if held and (t is None or size > 200_000):
-                    c = _codes("\n".join(held))
-                    slots, n = np.unique(_pair(c), return_counts=True)
-                    pairs[slots] += n
-                    slots, n = np.unique(_single(c), return_counts=True)
-                    singles[slots] += n
-                    held, size = [], 0
-        at, by = np.nonzero(pairs)[0], np.nonzero(singles)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([at, -1 - by]), pa.int64()), pa.array(np.concatenate([pairs[at], singles[by]]), pa.int64())], ["slot", "n"])
+        counts = Counts()
+        for _, texts in _groups(batches, 0):
+            held = [t for t in texts if t and (t.isascii() or not _SIGN.search(t))]
+            if held:
+                counts.add(_codes("  " + "  ".join(held) + "  "))
+        slots, n = counts.rows()
+        yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array(n, pa.int64())], ["slot", "n"])
 
     return df.select(df[text].alias("t")).mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
 
 
-def train(df: DataFrame, text: str = "text") -> BigramModel:
-    """The model over all clean records, with margin and floor validated on their chunks."""
-    counts = count_pairs(df, text).toPandas()  # bounded by the number of slots
-    pairs, singles = np.zeros(1 << BITS, np.float32), np.zeros(1 << UNI_BITS, np.float32)
-    slot, n = counts["slot"].to_numpy(np.int64), counts["n"].to_numpy(np.float32)
-    pairs[slot[slot >= 0]] = n[slot >= 0]
-    singles[-1 - slot[slot < 0]] = n[slot < 0]
-    model = BigramModel(pairs, singles)
-    shared = df.sparkSession.sparkContext.broadcast((pairs, singles))
+def train(df: DataFrame, text: str = "text") -> NgramModel:
+    """The model over all clean records, with margin and floor validated on their chunks.
+
+    Two jobs run over all records when this is called: one counts, the other rates what was counted.
+    """
+    counts = count_ngrams(df, text).where(f"n > 1 or slot >= {_AT[4]}").toPandas()  # what occurs once speaks for nothing; bounded by SLOTS
+    slots, n = counts["slot"].to_numpy(np.int64), counts["n"].to_numpy(np.float64)
+    first = flat_table(slots, n)
+    shared = df.sparkSession.sparkContext.broadcast(first)  # 4 bytes a slot at any size of the corpus
     hist: dict[str, list[tuple[int, int, int]]] = {k: [] for k in ("own", "gain", "helped")}
-    for r in rate_chunks(df, shared, text).collect():  # bounded by the numbers of bins
-        hist[r["kind"]].append((r["top"], r["bin"], r["n"]))
-    usual = _quantile(hist["helped"], 0.02) if hist["helped"] else 3.0
-    # a record of which some chunk gains half of what repair usually gains is taken for garbled, though it shows no sign
+    taken: list[tuple[int, int]] = []
+    for r in rate_chunks(df, shared, text).collect():  # bounded by the numbers of bins and slots
+        if r["kind"] == "garbled":
+            taken.append((r["bin"], r["n"]))
+        else:
+            hist[r["kind"]].append((r["top"], r["bin"], r["n"]))
+    usual = _quantile(hist["helped"], 0.02) if hist["helped"] else 3 * LEAST_MARGIN
     own, gain = ([x for x in hist[k] if x[0] < usual / 2 * TOP_BINS] for k in ("own", "gain"))
+    model = NgramModel(first)
+    if taken:
+        place, less = (np.array(x) for x in zip(*taken))
+        flat = np.zeros(SLOTS)
+        flat[slots] = n
+        flat[place] = np.maximum(flat[place] - less, 0)
+        model = NgramModel(flat_table(np.arange(SLOTS), flat))
     if own:
         most = _quantile(gain, 0.999)
-        model.margin = min(max(1.0, most + 0.25), max(1.0, (most + usual) / 2))
+        model.margin = max(LEAST_MARGIN, min(most + 1.0, (most + usual) / 2))
         model.floor = _quantile(own, 0.003) - 0.5
     return model
 
@@ -220,193 +406,188 @@ def _quantile(hist: list[tuple[int, int, int]], q: float) -> float:
     return at[int(np.searchsorted(upto, q * (upto[-1] - 1), side="right"))] / BINS
 
 
-def _rate(chunks: list[str], model: BigramModel) -> Iterator[tuple[int, int, list[int]]]:
-    """(own, gain, helped) of each chunk, in bins."""
-    every, ends = [], []
-    for w in chunks:
-        every += [w, *(x for x, _ in candidates(w))]
-        tried = len(every)
-        every += [bad for c in (("utf-8", "cp1252"), ("utf-8", "cp1251")) if (bad := apply_chain(w, c))]  # garble it
-        ends.append((tried, len(every)))
-    scores, at = model.scores(every), 0
-    for tried, end in ends:
-        own, others = scores[at], scores[at + 1 : tried]
-        gain = others.max() - own if len(others) else -FARTHEST
-        yield tuple(np.rint(np.clip([own, gain, *(own - scores[tried:end])], -FARTHEST, FARTHEST) * BINS).astype(int).tolist())
-        at = end
+_MISREAD = {name: str.maketrans({b: c for c, b in _TO_BYTES[name].items()}) for name in ("cp1252", "cp1251")}
+
+
+def misread(text: str, code_page: str) -> str:
+    """The text as a decoder gives it that takes its UTF-8 bytes for a code page."""
+    return text.encode("utf-8", "replace").decode("latin-1").translate(_MISREAD[code_page])
 
 
 def rate_chunks(df: DataFrame, shared, text: str = "text") -> DataFrame:
     """(kind, top, bin, n): histograms over every chunk beyond ASCII of all records without a sign.
 
-    ``own`` is a chunk's score, ``gain`` what the best chain adds to it, ``helped`` what repair would gain if it
-    had been garbled; ``top`` is the best gain in its record. A task adds up its whole partition and keeps the
-    ratings of chunks that it met; no rating depends on the order or the partition of the records.
+    ``own`` is a chunk's mean log likelihood, ``gain`` what the best chain adds to its sum (0 where nothing is
+    improbable, as such chunks are never tried), ``helped`` what repair would gain if the chunk had been garbled;
+    ``top`` is the best gain in its record. Rows of kind ``garbled`` count the n-grams of records without a sign of
+    which a chain's gains exceed three margins, by slot.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = BigramModel(*shared.value)
-        known: dict[str, tuple[int, ...]] = {}
+        model = NgramModel(shared.value)
         hist: Counter[tuple[str, int, int]] = Counter()
-        for b in batches:
-            records = [[w for w in t.split() if not w.isascii()] for t in b.column(0).to_pylist() if t and not t.isascii() and not _SIGN.search(t)]
-            if len(known) > HELD_CHUNKS:
-                known.clear()
-            new, size = [], 0
-            for w in {w: None for r in records for w in r if w not in known}:
-                new.append(w)
-                size += len(w)
-                if size > HELD_CHARS:
-                    known.update(zip(new, _rate(new, model)))
-                    new, size = [], 0
-            known.update(zip(new, _rate(new, model)))
-            for r in records:
-                rated = [known[w] for w in r]
-                top = max((g for _, g, *_ in rated), default=0) * TOP_BINS // BINS
-                for own, gain, *helped in rated:
-                    hist["own", top, own] += 1
-                    hist["gain", top, gain] += 1
-                    for h in helped:
-                        hist["helped", 0, h] += 1
+        garbled = Counts()
+        whole = lambda x: np.rint(np.clip(x, -FARTHEST, FARTHEST) * BINS).astype(int)
+        for _, texts in _groups(batches, 0):
+            held = [t for t in texts if t and not _SIGN.search(t)]
+            if not held:
+                continue
+            c = model.chunks(held)
+            tried = np.nonzero(c.improbable)[0]
+            words = [("", c.text[c.start[i] : c.end[i]], "") for i in tried]
+            model.decide(words)
+            gain, by_chain = np.zeros(len(c.n)), [Counter() for _ in held]
+            for i, w in zip(tried, words):
+                if model.known[w]:
+                    gain[i] = max(model.known[w][2], 0.0)
+                    by_chain[c.owner[i]][model.known[w][1]] += gain[i]
+            best = np.zeros(len(held))
+            np.maximum.at(best, c.owner, gain)
+            top = np.minimum(best[c.owner], FARTHEST) * TOP_BINS
+            for kind, values in (("own", c.total / c.n), ("gain", gain)):
+                cells, n = np.unique(np.stack([top.astype(int), whole(values)]), axis=1, return_counts=True)
+                for t, b, k in zip(*cells.tolist(), n.tolist()):
+                    hist[kind, t, b] += k
+            for page in _MISREAD:
+                d = model.chunks([misread(t, page) for t in held])
+                if len(d.n) == len(c.n):  # blanks are where they were
+                    bins, n = np.unique(whole(c.total - d.total), return_counts=True)
+                    for b, k in zip(bins.tolist(), n.tolist()):
+                        hist["helped", 0, b] += k
+            bad = [t for t, g in zip(held, by_chain) if g and max(g.values()) > 3 * LEAST_MARGIN]
+            if bad:
+                garbled.add(_codes("  " + "  ".join(bad) + "  "))
+        slots, less = garbled.rows()
         kinds, tops, bins = zip(*hist) if hist else ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(tops, pa.int64()), pa.array(bins, pa.int64()), pa.array(hist.values(), pa.int64())], ["kind", "top", "bin", "n"])
+        size = len(slots)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([*kinds, *["garbled"] * size], pa.string()),
+                pa.array([*tops, *[0] * size], pa.int64()),
+                pa.array([*bins, *slots.tolist()], pa.int64()),
+                pa.array([*hist.values(), *less.tolist()], pa.int64()),
+            ],
+            ["kind", "top", "bin", "n"],
+        )
 
-    return df.select(df[text].alias("t")).mapInArrow(run, "kind string, top bigint, bin bigint, n bigint").groupBy("kind", "top", "bin").agg(F.sum("n").alias("n"))
+    return _beyond(df.select(df[text].alias("t")), "t").mapInArrow(run, "kind string, top bigint, bin bigint, n bigint").groupBy("kind", "top", "bin").agg(F.sum("n").alias("n"))
 
 
-def candidates(chunk: str) -> Iterator[tuple[str, str]]:
-    """Every distinct result of one chain, or of UTF-8 chains twice, with the chain's name; UTF-8 chains first."""
-    seen = set()
-    for c in CHAINS:
-        x = apply_chain(chunk, c)
-        if x is not None and x not in seen:
-            seen.add(x)
-            yield x, f"{c[0]}>{c[1]}"
-            if c[1] == "utf-8":
-                for c2 in CHAINS[:4]:
-                    y = apply_chain(x, c2)
-                    if y is not None and y not in seen:
-                        seen.add(y)
-                        yield y, f"{c[0]}>{c[1]}>{c2[0]}>{c2[1]}"
-
-
-_HIGH = regex.compile(r"[^\x00-\x7f]+")
-
-
-def repair_text(text: str, model: BigramModel) -> tuple[str, dict[str, int]]:
-    """The restored text and how often each chain was accepted (``lost`` counts replacement characters)."""
-    used: dict[str, int] = {}
-    if text.isascii():
-        return text, used
-    lost = text.count("\ufffd")
-    if lost:
-        used["lost"] = lost
-    bad = model.improbable(text)
-    found: list[tuple[int, int, str, str, float]] = []
-    done = 0
-    for at in bad.tolist():
-        if at + 1 < done:
-            continue
-        start = max(text.rfind(" ", done, at + 1), text.rfind("\n", done, at + 1)) + 1 or done
-        ends = [e for e in (text.find(" ", at + 1), text.find("\n", at + 1)) if e >= 0]
-        end = min(ends, default=len(text))
-        if start < end and not text[start:end].isspace():
-            found += best(text, start, end, model)
+# at work
+
+_HIGH = regex.compile(r"[⺀-鿿가-﫿＀-￯]+|[^\x00-\x7f⺀-鿿가-﫿＀-￯]+")
+
+
+def _runs(text: str, start: int, end: int) -> list[tuple[int, int, tuple[str, str, str]]]:
+    """The runs beyond ASCII of a chunk of several, which may be garbled between right ones, with their surroundings."""
+    runs = list(_HIGH.finditer(text, start, end))
+    if len(runs) < 2:
+        return []
+    return [(m.start(), m.end(), (text[max(start, m.start() - 2) : m.start()], m.group(), text[m.end() : min(end, m.end() + 2)])) for m in runs]
+
+
+def repair_texts(texts: list[str | None], model: NgramModel) -> list[tuple[str | None, dict[str, int]]]:
+    """For each text the restored one and how often each chain was accepted (``lost`` and ``controls`` count signs)."""
+    out: list[tuple[str | None, dict[str, int]]] = [(t, {}) for t in texts]
+    at = [i for i, t in enumerate(texts) if t and not t.isascii()]
+    if not at:
+        return out
+    held = [texts[i] for i in at]
+    c = model.chunks(held)
+    offset = np.cumsum([2, *(len(t) + 2 for t in held)])
+    tried = [(int(c.owner[i]), int(c.start[i]), int(c.end[i]), -c.total[i]) for i in np.nonzero(c.improbable)[0]]
+    model.decide([("", c.text[a:z], "") for _, a, z, _ in tried])
+    found: dict[int, list[tuple[int, int, str, str, float]]] = {}
+    parts: list[tuple[int, int, int, tuple[str, str, str]]] = []
+    for own, a, z, unlikely in tried:
+        got = model.known["", c.text[a:z], ""]
+        shift = int(offset[own])
+        # a chain for the whole chunk, unless it leaves most of it as unlikely as it was
+        sure = got and (got[3] > model.floor or (got[1].endswith("utf-8") and got[2] > 3 * model.margin))
+        if sure and (got[2] >= model.margin or got[2] > 0.3 * unlikely):
+            found.setdefault(own, []).append((a - shift, z - shift, *got[:3]))
+        else:
+            parts += [(own, *run) for run in _runs(held[own], a - shift, z - shift)]
+    model.decide([p for *_, p in parts])
+    for own, a, z, p in parts:
+        got = model.known[p]
+        if got and got[2] > 0:
+            found.setdefault(own, []).append((a, z, *got[:3]))
+    for own, t in enumerate(held):
+        used: dict[str, int] = {}
+        if lost := t.count("\ufffd"):
+            used["lost"] = lost
+        gained: Counter[str] = Counter()
+        for *_, name, gain in found.get(own, ()):
+            gained[name] += gain
+        accepted = [x for x in found.get(own, ()) if gained[x[3]] >= model.margin]
+        for *_, name, _ in accepted:
+            used[name] = used.get(name, 0) + 1
+        if accepted:
+            accepted = sorted(accepted + _follow(t, accepted, model))
+        parts, done = [], 0
+        for start, end, fixed, *_ in accepted:
+            parts.append(t[done:start] + fixed)
             done = end
-    gained: dict[str, float] = {}
-    for *_, name, gain in found:
-        gained[name] = gained.get(name, 0.0) + gain
-    # a chain between code pages of one byte proves nothing by decoding: the whole record must speak for it
-    accepted = [x for x in found if x[3].endswith(MANY_BYTES) or gained[x[3]] >= ONE_BYTE_GAIN]
-    for *_, name, _ in accepted:
-        used[name] = used.get(name, 0) + 1
-    if accepted:
-        accepted = sorted(accepted + follow(text, accepted, model))
-    out, done = [], 0
-    for start, end, fixed, *_ in accepted:
-        out.append(text[done:start] + fixed)
-        done = end
-    out.append(text[done:])
-    return "".join(out), used
+        fixed = "".join([*parts, t[done:]])
+        if left := len(_CONTROLS.findall(fixed)):
+            used["controls"] = left
+        out[at[own]] = (fixed, used)
+    return out
+
+
+def repair_text(text: str, model: NgramModel) -> tuple[str, dict[str, int]]:
+    return repair_texts([text], model)[0]
 
 
 _CHUNK = regex.compile(r"[^ \n]*[^\x00-\x7f \n][^ \n]*")
 
 
-def follow(text: str, accepted: list[tuple], model: BigramModel) -> list[tuple[int, int, str, str, float]]:
+def _follow(text: str, accepted: list[tuple], model: NgramModel) -> list[tuple[int, int, str, str, float]]:
     """Further chunks of a garbled record that its own chains read better, by whatever little."""
     taken = sorted((a, b) for a, b, *_ in accepted)
-    counts: dict[str, int] = {}
-    for *_, name, _ in accepted:
-        counts[name] = counts.get(name, 0) + 1
-    chains = sorted(counts, key=counts.get, reverse=True)
-    out, at = [], 0
+    chains = [name for name, _ in Counter(x[3] for x in accepted).most_common()]
+    places, at = [], 0
     for m in _CHUNK.finditer(text):
         while at < len(taken) and taken[at][1] <= m.start():
             at += 1
-        if at < len(taken) and taken[at][0] < m.end():
-            continue
-        own = model.score(m.group())
+        if at == len(taken) or taken[at][0] >= m.end():
+            places.append(m)
+    options: list[list[tuple[str, str]]] = []
+    for m in places:
+        options.append([(m.group(), "")])
         for name in chains:
             parts, x = name.split(">"), m.group()
             for pair in zip(parts[::2], parts[1::2]):
                 x = x and apply_chain(x, pair)
-            if x and model.score(x) > own + FOLLOWING_GAIN:
-                out.append((m.start(), m.end(), x, name, 0.0))
+            if x:
+                options[-1].append((x, name))
+    total, _ = model.scores([x for o in options for x, _ in o])
+    out, k = [], 0
+    for m, o in zip(places, options):
+        for j in range(1, len(o)):
+            if total[k + j] > total[k] + FOLLOWING_GAIN:
+                out.append((m.start(), m.end(), *o[j], 0.0))
                 break
+        k += len(o)
     return out
 
 
-def best(text: str, start: int, end: int, model: BigramModel) -> list[tuple[int, int, str, str, float]]:
-    """What to replace in text[start:end]: (start, end, new text, chain, gain), for the chunk or for runs within it."""
-
-    def choose(a: str, part: str, z: str) -> tuple[str, str, float] | None:
-        place = (a, part, z)
-        if place in model.choices:
-            return model.choices[place]
-        own, top = model.score(a + part + z), None
-        for x, name in candidates(part):
-            many = name.endswith(MANY_BYTES)
-            if not many and top is not None and top[2].endswith("utf-8"):
-                break  # the UTF-8 chains come first, and one that reads well settles it
-            if not many and not any(map(str.isalpha, part + x)):
-                continue  # between signs alone, a one-byte chain has nothing to go by
-            s = model.score(a + x + z)
-            if s > own + model.margin and s > (model.floor if many else ONE_BYTE_FLOOR):
-                rank = s + PREFER_UTF8 * name.endswith("utf-8")
-                if top is None or rank > top[0]:
-                    top = (rank, x, name, s - own)
-        if len(model.choices) > 200_000:
-            model.choices.clear()
-        if len(part) < 40:
-            model.choices[place] = top and top[1:]
-        return top and top[1:]
-
-    whole = choose("", text[start:end], "")
-    if whole:
-        return [(start, end, *whole)]
-    # garbled runs between right ones in one chunk: each run by itself, in its surroundings
-    out = []
-    for m in _HIGH.finditer(text, start, end):
-        run = choose(text[max(start, m.start() - 1) : m.start()], m.group(), text[m.end() : min(end, m.end() + 1)])
-        if run:
-            out.append((m.start(), m.end(), *run))
-    return out
-
-
-def repair(df: DataFrame, model: BigramModel, key: str = "doc_id", text: str = "text") -> DataFrame:
+def repair(df: DataFrame, model: NgramModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, fixed, chains, affected) of every record."""
-    shared = df.sparkSession.sparkContext.broadcast((model.pairs, model.singles, model.margin, model.floor))  # 4 MB at any size
+    shared = df.sparkSession.sparkContext.broadcast((model.flat, model.margin, model.floor))  # 4 bytes a slot at any size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = BigramModel(*shared.value)
-        for b in batches:
-            fixed, chains = [], []
-            for t in b.column(1).to_pylist():
-                f, used = repair_text(t, m) if t else (t, {})
-                fixed.append(f)
-                chains.append(sorted(used))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fixed, pa.string()), pa.array(chains, pa.list_(pa.string())), pa.array([bool(x) for x in chains])], ["k", "fixed", "chains", "affected"])
+        m = NgramModel(*shared.value)
+        for b, texts in _groups(batches, 1):
+            got = repair_texts(texts, m)
+            chains = [sorted(u) for _, u in got]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([f for f, _ in got], pa.string()), pa.array(chains, pa.list_(pa.string())), pa.array([bool(x) for x in chains])], ["k", "fixed", "chains", "affected"])
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(df[key].alias("k"), df[text].alias("t")).mapInArrow(run, f"k {kind}, fixed string, chains array<string>, affected boolean").withColumnRenamed("k", key)
+
+
+def affected(df: DataFrame, model: NgramModel, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``repair`` of the affected records; those of ASCII alone never leave the JVM."""
+    return repair(_beyond(df, text), model, key, text).where("affected")
