@@ -22,6 +22,7 @@ import codecs
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leafwright.session import through_disk
+
 #: Bits of the tables of trigrams and pairs (each twice, by two hashes) and of characters.
 TRI_BITS, PAIR_BITS, UNI_BITS = 21, 20, 16
 SMOOTHING = 2.0
@@ -45,8 +48,12 @@ LEAST_MARGIN = 4.0
 ONE_BYTE_COST, SECOND_COST, ALONE_COST = 1.0, 2.0, 4.0
 #: Once a chain is accepted in a record, its other chunks need this gain only.
 FOLLOWING_GAIN = 0.7
-#: Bins a nat and the value beyond which all count alike, of the histograms; bins a nat of a record's best gain.
-BINS, TOP_BINS, FARTHEST = 20, 4, 60
+#: A record that gains so many times that is taken for garbled when the model is trained.
+SURE = 3
+#: A result of this mean log likelihood, or one of valid UTF-8, may be text.
+READABLE = -8.0
+#: Bins a nat and the value beyond which all count alike, of the histograms.
+BINS, FARTHEST = 20, 60
 #: Chunks whose results a task keeps, and characters of texts rated at once.
 HELD_CHUNKS, HELD_CHARS = 200_000, 200_000
 #: The encodings tried, as (bytes are what X encodes, read them as Y).
@@ -80,6 +87,9 @@ CHAINS = (
 #: Signs that keep a record out of training: C1 controls, private use, replacement, lead and trail byte pairs.
 _SIGN = regex.compile(r"[\u0080-\u009f-�]|[Â-ô][\u0080-¿]|[ÃÂâ][^\x00-\x7fa-zA-Z]|[РС][Ђ-Џђ-џ‘-› -¿]")
 _CONTROLS = regex.compile(r"[\u0080-\u0084\u0086-\u009f]")
+_LOST = regex.compile(r"[\u0080-\u0084\u0086-\u009f\ufffd]")
+_HIGH = regex.compile(r"[⺀-鿿가-﫿＀-￯]+|[^\x00-\x7f⺀-鿿가-﫿＀-￯]+")
+_RATED = ["k", "t", "kind", "bin", "n"]
 
 
 def _sloppy(name: str) -> dict[int, int]:
@@ -140,11 +150,12 @@ def candidates(chunk: str) -> Iterator[tuple[str, str]]:
     return step(chunk, "")
 
 
-def cost(name: str, chunk: str) -> float:
-    """What the gain of a chain is lessened by."""
+@cache
+def cost(name: str, alone: bool) -> float:
+    """What the gain of a chain is lessened by; ``alone`` tells of a chunk of one character."""
     readers = name.split(">")[1::2]
-    alone = ALONE_COST if len(chunk) == 1 and readers[0] not in MANY_BYTES else 0.0
-    return alone + ONE_BYTE_COST * sum(r not in MANY_BYTES for r in readers) + SECOND_COST * (len(readers) - 1)
+    signs = ALONE_COST if alone and readers[0] not in MANY_BYTES else 0.0
+    return signs + ONE_BYTE_COST * sum(r not in MANY_BYTES for r in readers) + SECOND_COST * (len(readers) - 1)
 
 
 # the model
@@ -193,14 +204,16 @@ class Counts:
     def add(self, c: np.ndarray) -> None:
         """Count the texts in ``c``, which begins and ends with two blanks."""
         a, b, d = c[:-2], c[1:-1], c[2:]
-        low = (b < 128) & (d < 128)
+        high = (b | d) > 127
+        low = ~high
         self.ascii += np.bincount((b[low] << np.uint32(7)) | d[low], minlength=1 << 14)
-        high = ~low
-        self.waiting += [*_pair_slots(b[high], d[high]), _uni_slots(d)]
-        three = np.nonzero((high | (a > 127)) & (b != 32))[0]
-        self.waiting += _tri_slots(a[three], b[three], d[three])
-        self.size += len(c)
-        if self.size > 1_000_000:
+        self.flat[_AT[4] :] += np.bincount(_uni_slots(d) - np.uint32(_AT[4]), minlength=1 << UNI_BITS)
+        at = np.nonzero(high)[0]
+        self.waiting += _pair_slots(b[at], d[at])
+        at = np.nonzero((high | (a > 127)) & (b != 32))[0]
+        self.waiting += _tri_slots(a[at], b[at], d[at])
+        self.size += sum(map(len, self.waiting[-4:]))
+        if self.size > 4_000_000:
             self.flush()
 
     def flush(self) -> None:
@@ -315,9 +328,10 @@ class NgramModel:
         for a, part, z in new:
             every.append(a + part + z)
             names.append("")
+            letters = any(map(str.isalpha, part))
             for x, name in candidates(part):
                 # chains of one byte leave signs alone nothing to go by
-                if name.endswith(MANY_BYTES) or any(map(str.isalpha, part + x)):
+                if letters or name.endswith(MANY_BYTES) or any(map(str.isalpha, x)):
                     every.append(a + x + z)
                     names.append(name)
             ends.append(len(every))
@@ -326,12 +340,18 @@ class NgramModel:
         for (a, part, z), end in zip(new, ends):
             self.known[a, part, z] = None
             if end > at + 1:
-                less = {i: total[i] - cost(names[i], a + part + z) for i in range(at + 1, end)}
+                alone = len(a + part + z) == 1
+                less = {i: total[i] - cost(names[i], alone) for i in range(at + 1, end)}
                 i = max(less, key=less.get)
                 self.known[a, part, z] = (every[i][len(a) : len(every[i]) - len(z)], names[i], float(less[i] - total[at]), float(total[i] / n[i]))
             at = end
 
 
+    def readable(self, place: tuple[str, str, str]) -> bool:
+        got = self.known.get(place)
+        return bool(got) and (got[3] > READABLE or got[1].endswith("utf-8"))
+
+
 def _groups(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
     """Slices of the batches with about ``HELD_CHARS`` characters of text, and these texts."""
     for b in batches:
@@ -367,115 +387,103 @@ def count_ngrams(df: DataFrame, text: str = "text") -> DataFrame:
     return df.select(df[text].alias("t")).mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
 
 
-def train(df: DataFrame, text: str = "text") -> NgramModel:
-    """The model over all clean records, with margin and floor validated on their chunks.
+def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[NgramModel, DataFrame]:
+    """The model over all clean records, with margin and floor validated on their chunks, and the suspects (key, text).
 
-    Two jobs run over all records when this is called: one counts, the other rates what was counted.
+    Two jobs run over all records when this is called: one counts, the other rates what was counted and writes
+    down the suspects, in which some chain may read better or bytes were lost; all others are unaffected.
     """
     counts = count_ngrams(df, text).where(f"n > 1 or slot >= {_AT[4]}").toPandas()  # what occurs once speaks for nothing; bounded by SLOTS
     slots, n = counts["slot"].to_numpy(np.int64), counts["n"].to_numpy(np.float64)
     first = flat_table(slots, n)
     shared = df.sparkSession.sparkContext.broadcast(first)  # 4 bytes a slot at any size of the corpus
-    hist: dict[str, list[tuple[int, int, int]]] = {k: [] for k in ("own", "gain", "helped")}
-    taken: list[tuple[int, int]] = []
-    for r in rate_chunks(df, shared, text).collect():  # bounded by the numbers of bins and slots
-        if r["kind"] == "garbled":
-            taken.append((r["bin"], r["n"]))
-        else:
-            hist[r["kind"]].append((r["top"], r["bin"], r["n"]))
-    usual = _quantile(hist["helped"], 0.02) if hist["helped"] else 3 * LEAST_MARGIN
-    own, gain = ([x for x in hist[k] if x[0] < usual / 2 * TOP_BINS] for k in ("own", "gain"))
+    rated = through_disk(rate_chunks(df, shared, key, text), "rated")
+    hist: dict[str, list[tuple[int, int]]] = {k: [] for k in ("own", "gain", "garbled")}
+    for r in rated.where("kind <> 'suspect'").groupBy("kind", "bin").agg(F.sum("n").alias("n")).collect():  # bounded by bins and slots
+        hist[r["kind"]].append((r["bin"], r["n"]))
     model = NgramModel(first)
-    if taken:
-        place, less = (np.array(x) for x in zip(*taken))
+    if hist["garbled"]:
+        place, less = (np.array(x) for x in zip(*hist["garbled"]))
         flat = np.zeros(SLOTS)
         flat[slots] = n
         flat[place] = np.maximum(flat[place] - less, 0)
         model = NgramModel(flat_table(np.arange(SLOTS), flat))
-    if own:
-        most = _quantile(gain, 0.999)
-        model.margin = max(LEAST_MARGIN, min(most + 1.0, (most + usual) / 2))
-        model.floor = _quantile(own, 0.003) - 0.5
-    return model
+    if hist["own"]:
+        model.margin = min(max(LEAST_MARGIN, _quantile(hist["gain"], 0.999) + 1.0), SURE * LEAST_MARGIN)
+        model.floor = _quantile(hist["own"], 0.003) - 0.5
+    return model, rated.where("kind = 'suspect'").select(F.col("k").alias(key), F.col("t").alias(text))
 
 
-def _quantile(hist: list[tuple[int, int, int]], q: float) -> float:
-    """The value at the share ``q`` of (top, bin, n)."""
-    _, at, n = zip(*sorted(hist, key=lambda x: x[1]))
+def _quantile(hist: list[tuple[int, int]], q: float) -> float:
+    """The value at the share ``q`` of (bin, n)."""
+    at, n = zip(*sorted(hist))
     upto = np.cumsum(n)
     return at[int(np.searchsorted(upto, q * (upto[-1] - 1), side="right"))] / BINS
 
 
-_MISREAD = {name: str.maketrans({b: c for c, b in _TO_BYTES[name].items()}) for name in ("cp1252", "cp1251")}
-
-
-def misread(text: str, code_page: str) -> str:
-    """The text as a decoder gives it that takes its UTF-8 bytes for a code page."""
-    return text.encode("utf-8", "replace").decode("latin-1").translate(_MISREAD[code_page])
+def rate_chunks(df: DataFrame, shared, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(k, t, kind, bin, n): histograms over every chunk beyond ASCII of the clean records, and the suspects.
 
-
-def rate_chunks(df: DataFrame, shared, text: str = "text") -> DataFrame:
-    """(kind, top, bin, n): histograms over every chunk beyond ASCII of all records without a sign.
-
-    ``own`` is a chunk's mean log likelihood, ``gain`` what the best chain adds to its sum (0 where nothing is
-    improbable, as such chunks are never tried), ``helped`` what repair would gain if the chunk had been garbled;
-    ``top`` is the best gain in its record. Rows of kind ``garbled`` count the n-grams of records without a sign of
-    which a chain's gains exceed three margins, by slot.
+    A record is clean if it shows no sign and no chain gains more than ``SURE`` margins in it. Of clean records,
+    ``own`` counts the chunks by mean log likelihood, ``gain`` by what the best chain adds to the sum (0 where
+    nothing is improbable, as such chunks are never tried). Rows of kind ``garbled`` count, by slot, the n-grams of
+    the others without a sign. A ``suspect`` is a record with key and text in which bytes were lost, or a chain reads
+    an improbable chunk, or a run of it, as well as text may read; how well the chunk reads as it stands does not
+    count, as garbled records were still among those counted.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = NgramModel(shared.value)
-        hist: Counter[tuple[str, int, int]] = Counter()
+        hist: Counter[tuple[str, int]] = Counter()
         garbled = Counts()
-        whole = lambda x: np.rint(np.clip(x, -FARTHEST, FARTHEST) * BINS).astype(int)
-        for _, texts in _groups(batches, 0):
-            held = [t for t in texts if t and not _SIGN.search(t)]
-            if not held:
-                continue
-            c = model.chunks(held)
-            tried = np.nonzero(c.improbable)[0]
-            words = [("", c.text[c.start[i] : c.end[i]], "") for i in tried]
-            model.decide(words)
-            gain, by_chain = np.zeros(len(c.n)), [Counter() for _ in held]
-            for i, w in zip(tried, words):
-                if model.known[w]:
-                    gain[i] = max(model.known[w][2], 0.0)
-                    by_chain[c.owner[i]][model.known[w][1]] += gain[i]
-            best = np.zeros(len(held))
-            np.maximum.at(best, c.owner, gain)
-            top = np.minimum(best[c.owner], FARTHEST) * TOP_BINS
-            for kind, values in (("own", c.total / c.n), ("gain", gain)):
-                cells, n = np.unique(np.stack([top.astype(int), whole(values)]), axis=1, return_counts=True)
-                for t, b, k in zip(*cells.tolist(), n.tolist()):
-                    hist[kind, t, b] += k
-            for page in _MISREAD:
-                d = model.chunks([misread(t, page) for t in held])
-                if len(d.n) == len(c.n):  # blanks are where they were
-                    bins, n = np.unique(whole(c.total - d.total), return_counts=True)
-                    for b, k in zip(bins.tolist(), n.tolist()):
-                        hist["helped", 0, b] += k
-            bad = [t for t, g in zip(held, by_chain) if g and max(g.values()) > 3 * LEAST_MARGIN]
+        kind = None
+        for b, texts in _groups(batches, 1):
+            kind = b.schema.field(0).type
+            c = model.chunks(texts)
+            gain, by_chain = np.zeros(len(c.n)), [Counter() for _ in texts]
+            may = [bool(_LOST.search(t)) for t in texts]
+            for i, parts in found_parts(texts, c, model).items():
+                for *_, name, more in parts:
+                    gain[i] += more
+                    by_chain[c.owner[i]][name] += more
+            for i in np.nonzero(c.improbable)[0]:
+                own = int(c.owner[i])
+                may[own] = may[own] or any(model.readable(p) for p in _places(c.text, int(c.start[i]), int(c.end[i])))
+            signs = np.array([bool(_SIGN.search(t)) for t in texts])
+            sure = np.array([bool(g) and max(g.values()) > SURE * LEAST_MARGIN for g in by_chain])
+            clean = ~(signs | sure)[c.owner] if len(c.owner) else np.zeros(0, bool)
+            for name, values in (("own", c.total / c.n), ("gain", gain)):
+                bins, n = np.unique(np.rint(np.clip(values[clean], -FARTHEST, FARTHEST) * BINS).astype(int), return_counts=True)
+                for at, k in zip(bins.tolist(), n.tolist()):
+                    hist[name, at] += k
+            bad = [t for t, s, g in zip(texts, signs, sure) if g and not s]
             if bad:
                 garbled.add(_codes("  " + "  ".join(bad) + "  "))
+            held = b.filter(pa.array(may, pa.bool_()))
+            k = held.num_rows
+            yield pa.RecordBatch.from_arrays([held.column(0), held.column(1), pa.array(["suspect"] * k, pa.string()), pa.array([0] * k, pa.int64()), pa.array([0] * k, pa.int64())], _RATED)
+        if kind is None:
+            return
         slots, less = garbled.rows()
-        kinds, tops, bins = zip(*hist) if hist else ((), (), ())
-        size = len(slots)
+        names, bins = zip(*hist) if hist else ((), ())
+        size = len(names) + len(slots)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([*kinds, *["garbled"] * size], pa.string()),
-                pa.array([*tops, *[0] * size], pa.int64()),
+                pa.nulls(size, kind),
+                pa.nulls(size, pa.string()),
+                pa.array([*names, *["garbled"] * len(slots)], pa.string()),
                 pa.array([*bins, *slots.tolist()], pa.int64()),
                 pa.array([*hist.values(), *less.tolist()], pa.int64()),
             ],
-            ["kind", "top", "bin", "n"],
+            _RATED,
         )
 
-    return _beyond(df.select(df[text].alias("t")), "t").mapInArrow(run, "kind string, top bigint, bin bigint, n bigint").groupBy("kind", "top", "bin").agg(F.sum("n").alias("n"))
+    types = f"k {df.schema[key].dataType.simpleString()}, t string, kind string, bin bigint, n bigint"
+    return _beyond(df.select(df[key].alias("k"), df[text].alias("t")), "t").mapInArrow(run, types)
 
 
 # at work
 
-_HIGH = regex.compile(r"[⺀-鿿가-﫿＀-￯]+|[^\x00-\x7f⺀-鿿가-﫿＀-￯]+")
 
 
 def _runs(text: str, start: int, end: int) -> list[tuple[int, int, tuple[str, str, str]]]:
@@ -486,6 +494,38 @@ def _runs(text: str, start: int, end: int) -> list[tuple[int, int, tuple[str, st
     return [(m.start(), m.end(), (text[max(start, m.start() - 2) : m.start()], m.group(), text[m.end() : min(end, m.end() + 2)])) for m in runs]
 
 
+def _places(text: str, start: int, end: int) -> list[tuple[str, str, str]]:
+    return [("", text[start:end], ""), *(p for *_, p in _runs(text, start, end))]
+
+
+def found_parts(texts: list[str], c: Chunked, model: NgramModel) -> dict[int, list[tuple[int, int, str, str, float]]]:
+    """What some chain reads better, by the number of the chunk: (begin and end in its text, result, chain, gain)."""
+    shift = np.cumsum([2, *(len(t) + 2 for t in texts)])[c.owner] if len(c.owner) else c.owner
+    tried = [(int(i), int(c.start[i]), int(c.end[i])) for i in np.nonzero(c.improbable)[0]]
+    model.decide([("", c.text[a:z], "") for _, a, z in tried])
+    out: dict[int, list[tuple[int, int, str, str, float]]] = {}
+    runs: list[tuple[int, int, int, tuple[str, str, str]]] = []
+    for i, a, z in tried:
+        got = model.known["", c.text[a:z], ""]
+        begin, end = a - int(shift[i]), z - int(shift[i])
+        # a chain for the whole chunk, unless it leaves most of it as unlikely as it was
+        sure = got and (got[3] > model.floor or (got[1].endswith("utf-8") and got[2] > SURE * model.margin))
+        if sure and (got[2] >= model.margin or got[2] > 0.3 * -c.total[i]):
+            out[i] = [(begin, end, *got[:3])]
+            continue
+        several = _runs(texts[int(c.owner[i])], begin, end)
+        if several:
+            runs += [(i, *run) for run in several]
+        elif sure and got[2] > 0:
+            out[i] = [(begin, end, *got[:3])]
+    model.decide([p for *_, p in runs])
+    for i, begin, end, p in runs:
+        got = model.known[p]
+        if got and got[2] > 0:
+            out.setdefault(i, []).append((begin, end, *got[:3]))
+    return out
+
+
 def repair_texts(texts: list[str | None], model: NgramModel) -> list[tuple[str | None, dict[str, int]]]:
     """For each text the restored one and how often each chain was accepted (``lost`` and ``controls`` count signs)."""
     out: list[tuple[str | None, dict[str, int]]] = [(t, {}) for t in texts]
@@ -494,25 +534,9 @@ def repair_texts(texts: list[str | None], model: NgramModel) -> list[tuple[str |
         return out
     held = [texts[i] for i in at]
     c = model.chunks(held)
-    offset = np.cumsum([2, *(len(t) + 2 for t in held)])
-    tried = [(int(c.owner[i]), int(c.start[i]), int(c.end[i]), -c.total[i]) for i in np.nonzero(c.improbable)[0]]
-    model.decide([("", c.text[a:z], "") for _, a, z, _ in tried])
     found: dict[int, list[tuple[int, int, str, str, float]]] = {}
-    parts: list[tuple[int, int, int, tuple[str, str, str]]] = []
-    for own, a, z, unlikely in tried:
-        got = model.known["", c.text[a:z], ""]
-        shift = int(offset[own])
-        # a chain for the whole chunk, unless it leaves most of it as unlikely as it was
-        sure = got and (got[3] > model.floor or (got[1].endswith("utf-8") and got[2] > 3 * model.margin))
-        if sure and (got[2] >= model.margin or got[2] > 0.3 * unlikely):
-            found.setdefault(own, []).append((a - shift, z - shift, *got[:3]))
-        else:
-            parts += [(own, *run) for run in _runs(held[own], a - shift, z - shift)]
-    model.decide([p for *_, p in parts])
-    for own, a, z, p in parts:
-        got = model.known[p]
-        if got and got[2] > 0:
-            found.setdefault(own, []).append((a, z, *got[:3]))
+    for i, parts in found_parts(held, c, model).items():
+        found.setdefault(int(c.owner[i]), []).extend(parts)
     for own, t in enumerate(held):
         used: dict[str, int] = {}
         if lost := t.count("\ufffd"):
@@ -588,6 +612,7 @@ def repair(df: DataFrame, model: NgramModel, key: str = "doc_id", text: str = "t
     return df.select(df[key].alias("k"), df[text].alias("t")).mapInArrow(run, f"k {kind}, fixed string, chains array<string>, affected boolean").withColumnRenamed("k", key)
 
 
-def affected(df: DataFrame, model: NgramModel, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``repair`` of the affected records; those of ASCII alone never leave the JVM."""
-    return repair(_beyond(df, text), model, key, text).where("affected")
+def affected(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, fixed, chains, affected) of the affected records, by a model of all of them."""
+    model, suspects = train(df, key, text)
+    return repair(suspects, model, key, text).where("affected")

@@ -90,8 +90,7 @@ def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _garbled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return mojibake.affected(docs, mojibake.train(docs))
+    return mojibake.affected(table(spark, sf_dir, "documents"))
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
