@@ -36,7 +36,7 @@ from leafwright.session import through_disk
 TRI_BITS, PAIR_BITS, UNI_BITS = 21, 20, 16
 SMOOTHING = 2.0
 #: A character is improbable where it stands below this conditional probability.
-IMPROBABLE = 1e-2
+IMPROBABLE = 5e-3
 #: The share of a character's occurrences at the beginning of a chunk, where nothing is known of it.
 FIRST = 0.15
 #: Decodings in which few byte sequences are valid, so that decoding at all speaks for the chain.
@@ -50,8 +50,8 @@ ONE_BYTE_COST, SECOND_COST, ALONE_COST = 1.0, 2.0, 4.0
 FOLLOWING_GAIN = 0.7
 #: A record that gains so many times that is taken for garbled when the model is trained.
 SURE = 3
-#: A result of this mean log likelihood, or one of valid UTF-8, may be text.
-READABLE = -8.0
+#: A result of a lower mean log likelihood is never text, unless it is valid UTF-8; the validated floor lies higher or here.
+READABLE = -6.5
 #: Bins a nat and the value beyond which all count alike, of the histograms.
 BINS, FARTHEST = 20, 60
 #: Chunks whose results a task keeps, and characters of texts rated at once.
@@ -259,7 +259,7 @@ class Chunked:
 class NgramModel:
     flat: np.ndarray
     margin: float = LEAST_MARGIN
-    floor: float = -12.0
+    floor: float = READABLE
     known: dict[tuple[str, str, str], tuple[str, str, float, float] | None] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -410,7 +410,7 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Ngram
         model = NgramModel(flat_table(np.arange(SLOTS), flat))
     if hist["own"]:
         model.margin = min(max(LEAST_MARGIN, _quantile(hist["gain"], 0.999) + 1.0), SURE * LEAST_MARGIN)
-        model.floor = _quantile(hist["own"], 0.003) - 0.5
+        model.floor = max(_quantile(hist["own"], 0.003) - 0.5, READABLE)
     return model, rated.where("kind = 'suspect'").select(F.col("k").alias(key), F.col("t").alias(text))
 
 
@@ -526,8 +526,11 @@ def found_parts(texts: list[str], c: Chunked, model: NgramModel) -> dict[int, li
     return out
 
 
-def repair_texts(texts: list[str | None], model: NgramModel) -> list[tuple[str | None, dict[str, int]]]:
-    """For each text the restored one and how often each chain was accepted (``lost`` and ``controls`` count signs)."""
+def repair_texts(texts: list[str | None], model: NgramModel, whole: bool = True) -> list[tuple[str | None, dict[str, int]]]:
+    """For each text the restored one and how often each chain was accepted (``lost`` and ``controls`` count signs).
+
+    Without ``whole``, chunks that only follow others are not restored; which texts are affected is the same.
+    """
     out: list[tuple[str | None, dict[str, int]]] = [(t, {}) for t in texts]
     at = [i for i, t in enumerate(texts) if t and not t.isascii()]
     if not at:
@@ -544,10 +547,10 @@ def repair_texts(texts: list[str | None], model: NgramModel) -> list[tuple[str |
         gained: Counter[str] = Counter()
         for *_, name, gain in found.get(own, ()):
             gained[name] += gain
-        accepted = [x for x in found.get(own, ()) if gained[x[3]] >= model.margin]
+        accepted = sorted(x for x in found.get(own, ()) if gained[x[3]] >= model.margin)
         for *_, name, _ in accepted:
             used[name] = used.get(name, 0) + 1
-        if accepted:
+        if accepted and whole:
             accepted = sorted(accepted + _follow(t, accepted, model))
         parts, done = [], 0
         for start, end, fixed, *_ in accepted:
@@ -597,14 +600,14 @@ def _follow(text: str, accepted: list[tuple], model: NgramModel) -> list[tuple[i
     return out
 
 
-def repair(df: DataFrame, model: NgramModel, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, fixed, chains, affected) of every record."""
+def repair(df: DataFrame, model: NgramModel, key: str = "doc_id", text: str = "text", whole: bool = True) -> DataFrame:
+    """(key, fixed, chains, affected) of every record; ``whole`` as in ``repair_texts``."""
     shared = df.sparkSession.sparkContext.broadcast((model.flat, model.margin, model.floor))  # 4 bytes a slot at any size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = NgramModel(*shared.value)
         for b, texts in _groups(batches, 1):
-            got = repair_texts(texts, m)
+            got = repair_texts(texts, m, whole)
             chains = [sorted(u) for _, u in got]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([f for f, _ in got], pa.string()), pa.array(chains, pa.list_(pa.string())), pa.array([bool(x) for x in chains])], ["k", "fixed", "chains", "affected"])
 
@@ -612,7 +615,7 @@ def repair(df: DataFrame, model: NgramModel, key: str = "doc_id", text: str = "t
     return df.select(df[key].alias("k"), df[text].alias("t")).mapInArrow(run, f"k {kind}, fixed string, chains array<string>, affected boolean").withColumnRenamed("k", key)
 
 
-def affected(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def affected(df: DataFrame, key: str = "doc_id", text: str = "text", whole: bool = True) -> DataFrame:
     """(key, fixed, chains, affected) of the affected records, by a model of all of them."""
     model, suspects = train(df, key, text)
-    return repair(suspects, model, key, text).where("affected")
+    return repair(suspects, model, key, text, whole).where("affected")

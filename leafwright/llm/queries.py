@@ -89,18 +89,14 @@ def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill_report(p9_placements(spark, sf_dir), table(spark, sf_dir, "containers"))
 
 
-def _garbled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mojibake.affected(table(spark, sf_dir, "documents"))
-
-
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with characters that came from a wrong decoding."""
-    return _garbled(spark, sf_dir).select("doc_id").distinct()
+    return mojibake.affected(table(spark, sf_dir, "documents"), whole=False).select("doc_id").distinct()
 
 
 def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The affected documents with what could be restored and the chains that did it."""
-    return _garbled(spark, sf_dir).select("doc_id", F.col("fixed").alias("text"), F.concat_ws(",", "chains").alias("chains"))
+    return mojibake.affected(table(spark, sf_dir, "documents")).select("doc_id", F.col("fixed").alias("text"), F.concat_ws(",", "chains").alias("chains"))
 
 
 QUERIES = {
