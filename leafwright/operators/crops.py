@@ -93,24 +93,32 @@ def detector_input(image: np.ndarray) -> np.ndarray:
 
 
 def cut_crops(regions: DataFrame, images: DataFrame, page: str = "page_id") -> DataFrame:
-    """(page, ordinal, class, crop, png): a PNG for every region; an image that cannot be read gives an ``error`` instead.
+    """(page, ordinal, class, crop, png, error): a PNG for every region; without an image, or one that can be read, an ``error`` instead.
 
     ``images`` has (page, data, height, width, nChannels). Regions come to their image as one list, so an
-    image is decoded and moved once.
+    image is decoded and moved once. No region is lost: one that cannot be cut keeps its row.
     """
     lists = regions.groupBy(page).agg(F.collect_list(F.struct("ordinal", "class", "crop", "x0", "y0", "x1", "y1")).alias("rs"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for p, data, h, w, n, rs in zip(b[page], b["data"], b["height"], b["width"], b["nChannels"], b["rs"]):
-                out = []
+                out, image, why = [], None, None
                 try:
+                    if data is None:
+                        raise FileNotFoundError("no image of this page")
                     image = from_spark(bytes(data), int(h), int(w), int(n))
-                    for r in rs:
-                        out.append((p, r["ordinal"], r["class"], r["crop"], png(np.ascontiguousarray(crop_for_class(image, (r["x0"], r["y0"], r["x1"], r["y1"]), r["class"]))), None))
                 except Exception as e:  # one bad page must not end the run
-                    out = [(p, None, None, None, None, f"{type(e).__name__}: {e}")]
+                    why = f"{type(e).__name__}: {e}"
+                for r in rs:
+                    part, error = None, why
+                    if image is not None:
+                        try:
+                            part = png(np.ascontiguousarray(crop_for_class(image, (r["x0"], r["y0"], r["x1"], r["y1"]), r["class"] or "")))
+                        except Exception as e:
+                            error = f"{type(e).__name__}: {e}"
+                    out.append((p, r["ordinal"], r["class"], r["crop"], part, error))
                 yield pd.DataFrame(out, columns=[page, "ordinal", "class", "crop", "png", "error"])
 
     kind = regions.schema[page].dataType.simpleString()
-    return images.select(page, "data", "height", "width", "nChannels").join(lists, page).mapInPandas(run, f"{page} {kind}, ordinal int, class string, crop string, png binary, error string")
+    return lists.join(images.select(page, "data", "height", "width", "nChannels"), page, "left").mapInPandas(run, f"{page} {kind}, ordinal int, class string, crop string, png binary, error string")

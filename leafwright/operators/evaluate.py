@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StringType
 
 from leafwright import constants as C
 from leafwright.operators.sampling import numbered
@@ -90,13 +91,23 @@ def error_budget(samples: DataFrame) -> DataFrame:
     )
 
 
+def positions(c: Column, kind: DataType) -> Column:
+    """Annotation numbers as a set: from one number, a list of them, or JSON text of either; anything else has none."""
+    if isinstance(kind, ArrayType):
+        return F.array_distinct(F.array_compact(c.cast("array<int>")))
+    if isinstance(kind, StringType):
+        c = F.coalesce(F.from_json(c, "array<int>"), F.array(c.try_cast("int")))
+        return F.array_distinct(F.array_compact(c))
+    return F.array_compact(F.array(c.cast("int")))
+
+
 def locate(samples: DataFrame, annotations: DataFrame) -> DataFrame:
     """Samples with the box around their annotations, null where none can be found.
 
-    ``samples`` has (page_id, sample_id, gt_position array<int>), ``annotations`` (page_id, ord, category,
+    ``samples`` has (page_id, sample_id, gt_position: a number, a list or JSON text of either), ``annotations`` (page_id, ord, category,
     ignore, x0..y1). Only text categories that are not to be ignored count; ``category`` is the first one's.
     """
-    wanted = samples.select("page_id", "sample_id", F.explode(F.array_distinct("gt_position")).alias("ord"))
+    wanted = samples.select("page_id", "sample_id", F.explode(positions(F.col("gt_position"), samples.schema["gt_position"].dataType)).alias("ord"))
     texts = annotations.where(F.col("category").isin(*C.TEXT_CATEGORIES) & ~F.coalesce("ignore", F.lit(False)))
     met = wanted.join(texts, ["page_id", "ord"])
     boxes = met.groupBy("page_id", "sample_id").agg(
@@ -145,6 +156,14 @@ def cause_rollup(caused: DataFrame) -> DataFrame:
     return caused.withColumn("side", side).rollup("side", "cause").agg(F.count(F.lit(1)).alias("n"), F.sum("edit_num").alias("edits"))
 
 
+def side_ratio(caused: DataFrame) -> DataFrame:
+    """(layout_edits, recognition_edits, layout_share, recognition_share, ratio) of all edits; no ratio without recognition edits."""
+    of = lambda names: F.sum(F.when(F.col("cause").isin(*names), F.col("edit_num")).otherwise(0))
+    t = caused.agg(of(LAYOUT_CAUSES).alias("layout_edits"), of(RECOGNITION_CAUSES).alias("recognition_edits"), F.sum("edit_num").alias("_all"))
+    over = lambda a, b: F.try_divide(F.col(a).cast("double"), F.col(b).cast("double"))
+    return t.select("layout_edits", "recognition_edits", over("layout_edits", "_all").alias("layout_share"), over("recognition_edits", "_all").alias("recognition_share"), over("layout_edits", "recognition_edits").alias("ratio"))
+
+
 def top_per_group(counts: DataFrame, group: str, item: str, n: str, k: int = 3) -> DataFrame:
     """The ``k`` most frequent items of each group, ties by name."""
     w = Window.partitionBy(group).orderBy(F.desc(n), item)
@@ -250,6 +269,12 @@ def relative_profile(df: DataFrame, item: str, ours: str, theirs: str) -> DataFr
     return df.select(item, (F.try_divide(F.col(ours), F.avg(ours).over(w)) - F.try_divide(F.col(theirs), F.avg(theirs).over(w))).alias("delta"))
 
 
+def on_shared_pages(targets: DataFrame, sets: dict[str, DataFrame], page: str = "page_id") -> DataFrame:
+    """The targets on pages of which every box set holds at least one box, so that sets are compared on equal terms."""
+    shared = reduce(DataFrame.intersect, [boxes.select(page) for boxes in sets.values()])
+    return targets.join(shared, page, "left_semi")
+
+
 def coverage_report(covers: DataFrame, names: list[str], bar: float = COVER_OK) -> DataFrame:
     """(name, mean_cover, below, n) of each box set over the same targets."""
     flat = covers.select(F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("cover")) for n in names])).alias("x"))

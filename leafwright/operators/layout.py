@@ -69,6 +69,14 @@ def drop_nested(df: DataFrame, share: float = C.NEST_SHARE, aware: bool = True,
     return a.join(o, cond, "left_anti")
 
 
+def worst_nested(df: DataFrame, k: int) -> DataFrame:
+    """(page_id, n_nested): the ``k`` pages with the most regions that ``drop_nested`` drops, ties by page."""
+    every = df.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
+    kept = drop_nested(df).groupBy(F.col("page_id").alias("_p")).agg(F.count(F.lit(1)).alias("_k"))
+    counts = every.join(kept, F.col("page_id") == F.col("_p"), "left").select("page_id", (F.col("n") - F.coalesce("_k", F.lit(0))).alias("n_nested"))
+    return counts.where("n_nested > 0").orderBy(F.desc("n_nested"), "page_id").limit(k)
+
+
 def merge_large(df: DataFrame) -> DataFrame:
     """Without regions that lie to 90 % in a region of an absorbing class; all against the same set, so nothing cascades."""
     o = df.where(F.col("class").isin(*C.MERGE_LARGE)).select(*[F.col(c).alias("o_" + c) for c in ("page_id", "det_idx", *BOX)])

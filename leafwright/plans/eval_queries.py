@@ -18,7 +18,7 @@ Q: dict = {}
 SQL: dict[str, str] = {}
 D = f"d as ({V.duck(V.DETECTIONS)})"
 B = f"b as ({V.duck(V.BLOCKS)})"
-SM = f"s as ({V.duck(V.SAMPLES)})"
+SM = f"s as ({V.duck(V.LENGTHS)})"
 T = f"t as ({V.duck(V.TIMINGS)})"
 _WHITE = " || ".join(f"chr({ord(c)})" for c in C.WHITE)
 CATS = ", ".join(f"'{c}'" for c in C.TEXT_CATEGORIES)
@@ -34,6 +34,18 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def scored(name: str, sql: str):
+    """A query over scored samples: by the edit distance, which SQL cannot follow, and by length, compared with SQL."""
+
+    def add(f):
+        Q[name] = f
+        Q[name + "_by_length"] = lambda spark, sf_dir: f(spark, sf_dir, V.samples_by_length)
+        SQL[name + "_by_length"] = sql
+        return f
+
+    return add
+
+
 def _six(df, *cols):
     return df.withColumns({c: F.round(c, 6) for c in cols})
 
@@ -47,30 +59,30 @@ def _reductions(by: str, src: str = "s") -> str:
     select {b}cast(sum(c) as bigint) as n, count(*) as n_pages, round(coalesce(sum(e)::double/nullif(sum(u),0),0),6) as edit_whole, round(sum(r)/sum(c),6) as edit_sample_avg, round(avg(r/c),6) as page_avg from p {"group by " + by if by else ""}"""
 
 
-@query("edit_reductions", f"with {SM}, {_reductions('')}")
-def edit_reductions(spark, sf_dir):
-    return _six(E.edit_reductions(V.samples(spark, sf_dir)), "edit_whole", "edit_sample_avg", "page_avg")
+@scored("edit_reductions", f"with {SM}, {_reductions('')}")
+def edit_reductions(spark, sf_dir, samples=V.samples):
+    return _six(E.edit_reductions(samples(spark, sf_dir)), "edit_whole", "edit_sample_avg", "page_avg")
 
 
-@query("edit_by_language", f"with {SM}, {_reductions('lang')}")
-def edit_by_language(spark, sf_dir):
-    return _six(E.edit_reductions(V.samples(spark, sf_dir), "lang"), "edit_whole", "edit_sample_avg", "page_avg")
+@scored("edit_by_language", f"with {SM}, {_reductions('lang')}")
+def edit_by_language(spark, sf_dir, samples=V.samples):
+    return _six(E.edit_reductions(samples(spark, sf_dir), "lang"), "edit_whole", "edit_sample_avg", "page_avg")
 
 
-@query("edit_by_source", f"with {SM}, {_reductions('source')}")
-def edit_by_source(spark, sf_dir):
-    return _six(E.edit_reductions(V.samples(spark, sf_dir), "source"), "edit_whole", "edit_sample_avg", "page_avg")
+@scored("edit_by_source", f"with {SM}, {_reductions('source')}")
+def edit_by_source(spark, sf_dir, samples=V.samples):
+    return _six(E.edit_reductions(samples(spark, sf_dir), "source"), "edit_whole", "edit_sample_avg", "page_avg")
 
 
-@query(
+@scored(
     "attribute_slices",
     f"""with {SM}, p as (select img_id, avg({_RATIO}) v from s group by 1), j as (select p.img_id, v, page_lang, layout_kind, special_issue from p join page_info i on i.stem = p.img_id),
     a as (select img_id, v, 'language' as attribute, coalesce(page_lang,'None') as slice from j union all select img_id, v, 'layout', coalesce(layout_kind,'None') from j
      union all select img_id, v, 'special_issue', unnest(case when coalesce(special_issue,'')='' then ['None'] else string_split(special_issue,';') end) from j)
     select attribute, slice, count(*) as n_pages, round(avg(v),6) as page_avg from a group by 1,2""",
 )
-def attribute_slices(spark, sf_dir):
-    s = V.samples(spark, sf_dir)
+def attribute_slices(spark, sf_dir, samples=V.samples):
+    s = samples(spark, sf_dir)
     pages = s.groupBy("img_id").agg(F.avg(E.share(F.col("edit_num"), F.col("upper_len"))).alias("v"))
     info = table(spark, sf_dir, "page_info").select(F.col("stem").alias("img_id"), "page_lang", "layout_kind", "special_issue")
     one = lambda c: F.array_compact(F.array(c))
@@ -79,27 +91,33 @@ def attribute_slices(spark, sf_dir):
     return _six(E.attribute_slices(pages.join(info, "img_id"), attrs, "v"), "page_avg")
 
 
-@query(
+@scored(
     "overall_scores",
     f"""with {SM}, p as (select source, img_id, sum({_RATIO}) r, count(*) c from s group by 1, 2), q as (select source, avg(r/c) e from p group by 1)
     select source, round(((1-e)*100 + 90 + 80)/3, 6) as overall, round(((1-e)*100 + 90 + (1-e/2)*100)/3, 6) as proxy, round(((1-e)*100 + 90 + 100)/3, 6) as bound from q""",
 )
-def overall_scores(spark, sf_dir):
-    r = E.edit_reductions(V.samples(spark, sf_dir), "source")
+def overall_scores(spark, sf_dir, samples=V.samples):
+    r = E.edit_reductions(samples(spark, sf_dir), "source")
     e = F.col("page_avg")
     return _six(r.select("source", E.overall(e, F.lit(90.0), F.lit(80.0)).alias("overall"), E.overall_proxy(e, F.lit(90.0), e / 2).alias("proxy"), E.overall_bound(e, F.lit(90.0)).alias("bound")), "overall", "proxy", "bound")
 
 
+@query("edit_shares")
+def edit_shares(spark, sf_dir):
+    """Every document with the next: edit distance of the whole texts as a share of the longer; null if both are empty."""
+    return V.samples(spark, sf_dir).select("doc_id", "edit_num", "upper_len", F.try_divide("edit_num", "upper_len").alias("edit_share"))
+
+
 _BUCKET = "case when length(norm_gt)>0 and length(norm_pred)=0 then 'MISS' when length(norm_pred)>0 and length(norm_gt)=0 then 'SPURIOUS' when edit_num=0 then 'EXACT' else 'RECOG' end"
 
 
-@query(
+@scored(
     "error_buckets",
     f"""with {SM}, g as (select {_BUCKET} as bucket, count(*) as n, sum(edit_num) e, sum(upper_len) u from s group by 1)
     select bucket, n, cast(e as bigint) as edits, cast(u as bigint) as chars, round(e::double/(select sum(u) from g),6) as contribution, round(e::double/(select sum(e) from g),6) as share from g""",
 )
-def error_buckets(spark, sf_dir):
-    return _six(E.error_budget(V.samples(spark, sf_dir)), "contribution", "share")
+def error_buckets(spark, sf_dir, samples=V.samples):
+    return _six(E.error_budget(samples(spark, sf_dir)), "contribution", "share")
 
 
 _CATEGORY = "case when label in (22,0,4) then 'text_block' when label in (6,17) then 'title' when label in (18,19) then 'reference' when label = 12 then 'header' when label = 8 then 'footer' else 'figure' end"
@@ -122,7 +140,7 @@ def _caused(spark, sf_dir):
     sm = d.where("label in (22, 17, 19, 3)").select(
         "page_id",
         F.col("det_idx").alias("sample_id"),
-        F.expr("array(det_idx, det_idx + 1)").alias("gt_position"),
+        F.expr("concat('[', det_idx, ', ', det_idx + 1, ']')").alias("gt_position"),  # as the scorer's JSON has it
         F.expr("repeat('x', cast(5 + (det_idx*3+page_id)%20 as int))").alias("norm_gt"),
         F.expr("repeat('x', cast((det_idx*7+page_id)%26 as int))").alias("norm_pred"),
         F.expr("cast((det_idx*5+page_id)%9 as bigint)").alias("edit_num"),
@@ -144,6 +162,15 @@ def cause_rollup(spark, sf_dir):
     return E.cause_rollup(_caused(spark, sf_dir))
 
 
+@query(
+    "cause_ratio",
+    f"""with {D}, {_GT}, x as (select sum(edit_num) filter (cause in ('LAYOUT_MISS','LAYOUT_SPLIT','LAYOUT_MERGE','LAYOUT_PARTIAL')) as l, sum(edit_num) filter (cause in ('RECOG_EMPTY','RECOG_SHORT','RECOG_LONG','RECOG_SUBST')) as r, sum(edit_num) as t from cs)
+    select cast(l as bigint) as layout_edits, cast(r as bigint) as recognition_edits, round(l::double/t,6) as layout_share, round(r::double/t,6) as recognition_share, round(l::double/r,6) as ratio from x""",
+)
+def cause_ratio(spark, sf_dir):
+    return _six(E.side_ratio(_caused(spark, sf_dir)), "layout_share", "recognition_share", "ratio")
+
+
 @query(
     "cause_categories",
     f"""with {D}, {_GT}, c as (select cause, category, count(*) as n from cs where category is not null group by 1,2), r as (select *, row_number() over (partition by cause order by n desc, category) as rank from c) select cause, category, n, cast(rank as int) as rank from r where rank <= 3""",
@@ -162,17 +189,17 @@ def worst_layout_pages(spark, sf_dir):
     return c.groupBy("page_id").agg(F.sum("edit_num").alias("edits")).orderBy(F.desc("edits"), "page_id").limit(8)
 
 
-@query(
+@scored(
     "verbatim_recoverable",
-    f"""with {SM}, p as (select stem as img_id, string_agg(coalesce(text,''), ' ' order by doc_id) as page_text from documents group by 1)
+    f"""with {SM}, p as (select img_id, string_agg(norm_pred, ' ' order by doc_id) as page_text from s group by 1)
     select doc_id, s.img_id as img_id, edit_num, contains(page_text, norm_gt) as found from s join p on p.img_id = s.img_id where edit_num > 0 and length(norm_gt) >= 8""",
 )
-def verbatim_recoverable(spark, sf_dir):
+def verbatim_recoverable(spark, sf_dir, samples=V.samples):
     from leafwright.operators.assemble import ordered_concat
 
-    docs = table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
-    pages = ordered_concat(docs, "stem", ["doc_id"], "text", gap=" ", out="page_text").withColumnRenamed("stem", "img_id")
-    return E.recoverable(V.samples(spark, sf_dir), pages).select("doc_id", "img_id", "edit_num", "found")
+    s = samples(spark, sf_dir)
+    pages = ordered_concat(s.select("img_id", "doc_id", "norm_pred"), "img_id", ["doc_id"], "norm_pred", gap=" ", out="page_text")
+    return E.recoverable(s, pages).select("doc_id", "img_id", "edit_num", "found")
 
 
 @query(
@@ -233,12 +260,12 @@ def visual_drop_classes(spark, sf_dir):
     return E.visual_drop_classes(V.blocks(spark, sf_dir))
 
 
-@query(
+@scored(
     "visual_drop_effect",
     f"""with {B}, {_VD}, {SM}, p as (select img_id, avg({_RATIO}) as e from s group by 1) select chars_dropped > 0 as flag, count(e) as n, round(median(e),6) as median, round(avg(e),6) as mean from v join p on img_id = page group by 1""",
 )
-def visual_drop_effect(spark, sf_dir):
-    s = V.samples(spark, sf_dir)
+def visual_drop_effect(spark, sf_dir, samples=V.samples):
+    s = samples(spark, sf_dir)
     p = s.groupBy(F.col("img_id").alias("page")).agg(F.avg(E.share(F.col("edit_num"), F.col("upper_len"))).alias("e"))
     return _six(E.compare_groups(E.visual_drop(V.blocks(spark, sf_dir)).join(p, "page"), F.col("chars_dropped") > 0, "e"), "median", "mean")
 
@@ -252,13 +279,13 @@ def mean_delta(spark, sf_dir):
     return _six(E.mean_delta(t.where("run_id = 1"), t.where("run_id = 2"), ["stem"], "recognize_s"), "mean_a", "mean_b", "delta")
 
 
-@query(
+@scored(
     "relative_profile",
     f"""with {SM}, p as (select source, sum(edit_num)::double/nullif(sum(upper_len),0) as ours, avg(length(norm_gt)) as theirs from s group by 1)
     select source, round(ours/(select avg(ours) from p) - theirs/(select avg(theirs) from p), 6) as delta from p""",
 )
-def relative_profile(spark, sf_dir):
-    s = V.samples(spark, sf_dir)
+def relative_profile(spark, sf_dir, samples=V.samples):
+    s = samples(spark, sf_dir)
     p = s.groupBy("source").agg(F.try_divide(F.sum("edit_num").cast("double"), F.nullif(F.sum("upper_len"), F.lit(0))).alias("ours"), F.avg(F.length("norm_gt")).alias("theirs"))
     return _six(E.relative_profile(p, "source", "ours", "theirs"), "delta")
 
@@ -289,6 +316,33 @@ def coverage_report(spark, sf_dir):
     return _six(E.coverage_report(_covers(spark, sf_dir), ["ours", "raw", "full_set"]), "mean_cover")
 
 
+_SETS = """sa as (select * from d where label % 3 = 0 and page_id % 5 <> 0), sb as (select * from d where label % 3 = 1 and page_id % 7 <> 0), sc as (select * from d where label % 3 <= 1),
+    sh as (select page_id from sa intersect select page_id from sb intersect select page_id from sc)"""
+
+
+@query(
+    "coverage_shared_pages",
+    f"""with {D}, {_SETS}, x as (select page_id, x0, y0, x1, y1, 'ours' as name from sa union all select page_id, x0, y0, x1, y1, 'raw' from sb union all select page_id, x0, y0, x1, y1, 'full_set' from sc),
+    t as (select d.* from d join sh on sh.page_id = d.page_id where label = 5),
+    c as (select t.page_id, t.det_idx, n.name, least(1.0, coalesce(sum(greatest(least(t.x1,x.x1)-greatest(t.x0,x.x0),0)::double*greatest(least(t.y1,x.y1)-greatest(t.y0,x.y0),0)::double), 0)/any_value((t.x1-t.x0)::double*(t.y1-t.y0)::double)) as c
+      from t cross join (select unnest(['ours','raw','full_set']) as name) n left join x on x.page_id = t.page_id and x.name = n.name group by 1, 2, 3)
+    select name, round(avg(c),6) as mean_cover, count(*) filter (c < 0.7) as below, count(*) as n from c group by 1""",
+)
+def coverage_shared_pages(spark, sf_dir):
+    """Three box sets that lack different pages, compared on the pages that all of them have."""
+    d = V.detections(spark, sf_dir)
+    sets = {"ours": d.where("label % 3 = 0 and page_id % 5 <> 0"), "raw": d.where("label % 3 = 1 and page_id % 7 <> 0"), "full_set": d.where("label % 3 <= 1")}
+    targets = E.on_shared_pages(d.where("label = 5"), sets)
+    every = [b.select("page_id", *[F.col(c).alias("b_" + c) for c in L.BOX], F.lit(n).alias("set")) for n, b in sets.items()]
+    boxes = every[0].unionByName(every[1]).unionByName(every[2])
+    side = lambda p, q: F.greatest(q - p, F.lit(0.0).cast("float")).cast("double")
+    i = side(F.greatest("x0", "b_x0"), F.least("x1", "b_x1")) * side(F.greatest("y0", "b_y0"), F.least("y1", "b_y1"))
+    own = (F.col("x1") - F.col("x0")).cast("double") * (F.col("y1") - F.col("y0")).cast("double")
+    part = lambda n: F.least(F.lit(1.0), F.sum(F.when(F.col("set") == n, i).otherwise(0.0)) / F.first(own)).alias(n)
+    covers = targets.join(boxes, "page_id").groupBy("page_id", "det_idx").agg(*[part(n) for n in sets])
+    return _six(E.coverage_report(covers, list(sets)), "mean_cover")
+
+
 @query(
     "coverage_verdict",
     f"""with {D}, {_COVER}, a as (select count(*) filter (ours<0.7 and raw>=0.7) as ours_only, count(*) filter (raw<0.7 and ours>=0.7) as raw_only, count(*) filter (ours<0.7 and full_set>=0.7) as recovered, count(*) filter (full_set<0.7 and ours>=0.7) as lost, count(*) filter (ours<0.7 and raw<0.7 and full_set<0.7) as all_fail, abs(avg(ours)-avg(raw)) as gap from cv)
@@ -428,10 +482,9 @@ def attribute_distribution(spark, sf_dir):
 # sources and sinks
 
 
-@query("results_json", f"""with {B}, j as (select page, '[' || string_agg('{{"read_order":' || read_order || ',"class":"' || class || '","text":' || cast(to_json(text) as varchar) || '}}', ',' order by read_order, idx) || ']' || chr(10) as json from b group by 1) select page, json_array_length(json) as n from j""")
+@query("results_json", f"""with {B}, j as (select page, '[' || string_agg('{{"read_order":' || read_order || ',"class":"' || class || '","text":' || cast(to_json(text) as varchar) || '}}', ',' order by read_order, idx) || ']' || chr(10) as json from b group by 1) select page, json from j""")
 def results_json(spark, sf_dir):
-    j = W.results_json(V.blocks(spark, sf_dir))
-    return j.select("page", F.json_array_length("json").cast("bigint").alias("n"))
+    return W.results_json(V.blocks(spark, sf_dir))
 
 
 @query("results_parse", f"with {B} select page, read_order, class, text from b")
@@ -467,39 +520,41 @@ def page_list(spark, sf_dir):
 
 def _log(spark, sf_dir):
     """Run-log lines of all pages in eight files; every third page has an older block in the file before."""
-    d = V.detections(spark, sf_dir)
-    base = d.where("det_idx < 12")
+    base = V.detections(spark, sf_dir)
+    begin = F.col("page_id").cast("bigint") * (1 << 32)  # a line number for every region that a page can have
     old = base.where("page_id % 3 = 0").withColumn("score", F.lit(0.111).cast("float")).withColumn("run", F.lit(0))
     both = old.unionByName(base.withColumn("run", F.lit(1)))
     file_no = F.col("run") * 8 + F.col("page_id") % 8
-    head = both.select(file_no.alias("file_no"), (F.col("page_id") * 1000).alias("line_no"), F.format_string("[%d] == page_%d ==", "page_id", "page_id").alias("value")).distinct()
+    head = both.select(file_no.alias("file_no"), begin.alias("line_no"), F.format_string("[%d] == page_%d ==", "page_id", "page_id").alias("value")).distinct()
     row = F.concat(F.lit("  read_order="), F.lpad(F.col("read_order").cast("string"), 3, " "), F.lit(" "), "class", F.lit(" score="), F.format_string("%.3f", F.col("score").cast("double")), F.lit(" bbox=["), F.concat_ws(", ", *[F.format_string("%.1f", F.col(c).cast("double")) for c in L.BOX]), F.lit("]"))
-    return head.unionByName(both.select(file_no.alias("file_no"), (F.col("page_id") * 1000 + 1 + F.col("det_idx")).alias("line_no"), row.alias("value")))
+    return head.unionByName(both.select(file_no.alias("file_no"), (begin + 1 + F.col("det_idx")).alias("line_no"), row.alias("value")))
 
 
 @query(
     "log_parse_carry",
-    f"""with {D} select 'page_' || page_id as stem, det_idx as pos, read_order, class, round(score::double,3) as score, round(x0::double,1) as x0, round(y1::double,1) as y1 from d where det_idx < 12""",
+    f"""with {D} select 'page_' || page_id as stem, det_idx as pos, read_order, class, round(score::double,3) as score, round(x0::double,1) as x0, round(y1::double,1) as y1 from d""",
 )
 def log_parse_carry(spark, sf_dir):
     r = R.region_log(_log(spark, sf_dir))
     return r.select("stem", "pos", "read_order", "class", "score", F.col("bbox")[0].alias("x0"), F.col("bbox")[3].alias("y1"))
 
 
-@query("timing_log", f"with {T} select stem, cast(max(floor(recognize_s)) filter (run_id = 1) as double) as seconds from t where run_id = 1 group by 1")
+@query("timing_log", f"with {T}, m as (select stem, run_id, max(floor(recognize_s)) as s from t group by 1, 2) select stem, cast(arg_max(s, run_id) as double) as seconds from m group by 1")
 def timing_log(spark, sf_dir):
-    t = V.timings(spark, sf_dir).where("run_id = 1").groupBy("stem").agg(F.max(F.floor("recognize_s")).alias("s"))
+    """One log file a run, with the same numbers in each."""
+    t = V.timings(spark, sf_dir).groupBy("stem", "run_id").agg(F.max(F.floor("recognize_s")).alias("s"))
     n = F.pmod(F.xxhash64("stem"), F.lit(1_000_000_000))
-    lines = t.select(F.explode(F.array(F.struct((n * 2).alias("line_no"), F.concat(F.lit("["), n, F.lit("] == "), "stem", F.lit(" ==")).alias("value")), F.struct((n * 2 + 1).alias("line_no"), F.concat(F.lit("["), n, F.lit("] wrote out/x.md in "), F.col("s"), F.lit("s")).alias("value")))).alias("x")).select("x.line_no", "x.value")
-    return R.timing_log(lines)
+    pair = F.array(F.struct((n * 2).alias("line_no"), F.concat(F.lit("["), n, F.lit("] == "), "stem", F.lit(" ==")).alias("value")), F.struct((n * 2 + 1).alias("line_no"), F.concat(F.lit("["), n, F.lit("] wrote out/x.md in "), F.col("s"), F.lit("s")).alias("value")))
+    return R.timing_log(t.select(F.col("run_id").alias("file"), F.explode(pair).alias("x")).select("file", "x.line_no", "x.value"))
 
 
-@query("second_timing_log", f"with {T} select stem, cast(max(crops) as int) as crops, round(max(recognize_s),1) as seconds from t where run_id = 2 and crops % 2 = 0 group by 1")
+@query("second_timing_log", f"with {T}, m as (select stem, run_id, cast(max(crops) as int) as c, round(max(recognize_s),1) as s from t where crops % 2 = 0 group by 1, 2) select stem, arg_max(c, run_id) as crops, arg_max(s, run_id) as seconds from m group by 1")
 def second_timing_log(spark, sf_dir):
-    t = V.timings(spark, sf_dir).where("run_id = 2").groupBy("stem").agg(F.max("crops").alias("crops"), F.max("recognize_s").alias("s"))
-    i = F.when(F.col("crops") % 2 == 0, F.lit(211)).otherwise(F.lit(210))
-    lines = t.select(F.lit(1).alias("line_no"), F.concat(F.lit("["), i, F.lit("/1651] "), "stem", F.lit(": "), F.col("crops").cast("int"), F.lit(" crops, 10 bytes, "), F.round("s", 1), F.lit("s")).alias("value"))
-    return R.second_timing_log(lines, t.select("stem"))
+    t = V.timings(spark, sf_dir)
+    m = t.groupBy("stem", "run_id", (F.col("crops") % 2 == 0).alias("even")).agg(F.max("crops").alias("crops"), F.max("recognize_s").alias("s"))
+    i = F.when(F.col("even"), F.lit(211)).otherwise(F.lit(210))
+    lines = m.select(F.col("run_id").alias("file"), F.lit(1).alias("line_no"), F.concat(F.lit("["), i, F.lit("/1651] "), "stem", F.lit(": "), F.col("crops").cast("int"), F.lit(" crops, 10 bytes, "), F.round("s", 1), F.lit("s")).alias("value"))
+    return R.second_timing_log(lines, t.select("stem").distinct())
 
 
 @query("page_elapsed", "select run, stem, epoch_us(coalesce(lead(ts) over (partition by run order by ts, stem), ended)) - epoch_us(ts) as micros from (select kind as run, path as stem, written_at as ts, max(written_at) over (partition by kind) as ended from small_files where file_id in (select min(file_id) from small_files group by kind, written_at)) x")
@@ -512,9 +567,9 @@ def page_elapsed(spark, sf_dir):
     return R.page_elapsed(first.join(ends, "kind").select(F.col("kind").alias("run"), F.col("path").alias("stem"), F.col("written_at").alias("at"), "ended"))
 
 
-@query("scorer_log", f"""with {SM}, p as (select source, round(sum(edit_num)::double/nullif(sum(upper_len),0),4) as value from s group by 1) select 'run1' as run, source as slice, value from p where value is not null""")
-def scorer_log(spark, sf_dir):
-    s = V.samples(spark, sf_dir).groupBy("source").agg(F.round(F.try_divide(F.sum("edit_num").cast("double"), F.nullif(F.sum("upper_len"), F.lit(0))), 4).alias("v")).where("v is not null")
+@scored("scorer_log", f"""with {SM}, p as (select source, round(sum(edit_num)::double/nullif(sum(upper_len),0),4) as value from s group by 1) select 'run1' as run, source as slice, value from p where value is not null""")
+def scorer_log(spark, sf_dir, samples=V.samples):
+    s = samples(spark, sf_dir).groupBy("source").agg(F.round(F.try_divide(F.sum("edit_num").cast("double"), F.nullif(F.sum("upper_len"), F.lit(0))), 4).alias("v")).where("v is not null")
     line = F.concat(F.lit("data_source: "), "source", F.lit("   "), F.format_string("%.4f", "v"))
     text = s.agg(F.concat(F.lit("preamble\n【table】\nALL 0.5\n【text_block】\nEdit_dist:\n"), F.array_join(F.array_sort(F.collect_list(line)), "\n"), F.lit("\n【reading_order】\nALL 0.1\n")).alias("text"))
     return R.scorer_log(text.select(F.lit("run1").alias("run"), "text"), "text_block")

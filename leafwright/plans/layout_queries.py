@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leafwright.operators import geometry as G
 from leafwright.operators import layout as L
+from leafwright.operators import sampling as S
 from leafwright.operators import tasks as T
 from leafwright.plans import views as V
 
@@ -37,6 +38,11 @@ _AP = "cast(cast(cast({0}x1-{0}x0 as float)+cast(1 as float) as float)*cast(cast
 _IP = "cast(greatest(cast(cast(least({0}x1,{1}x1)-greatest({0}x0,{1}x0) as float)+cast(1 as float) as float),cast(0 as float))*greatest(cast(cast(least({0}y1,{1}y1)-greatest({0}y0,{1}y0) as float)+cast(1 as float) as float),cast(0 as float)) as float)"
 
 
+#: In DOUBLE: a box's sides multiplied, and what this box shares with the next.
+_SIDES = "greatest(cast({0}x1 as double)-cast({0}x0 as double),0)*greatest(cast({0}y1 as double)-cast({0}y0 as double),0)"
+_IU = "greatest(cast(least(x1,o_x1) as double)-cast(greatest(x0,o_x0) as double),0)*greatest(cast(least(y1,o_y1) as double)-cast(greatest(y0,o_y0) as double),0)"
+
+
 def _iou(a: str, b: str) -> str:
     i = _IP.format(a, b)
     return f"cast({i}/cast(cast({_AP.format(a)}+{_AP.format(b)} as float)-{i} as float) as float)"
@@ -173,29 +179,64 @@ def raw_postprocess(spark, sf_dir):
 
 @query(
     "decode_detections",
-    f"""{D1} select page_id, det_idx, label, class, score, x0, y0, x1, y1, read_order from d where det_idx < 20""",
+    f"""{D1}, n as (select page_id, count(*) - page_id % 3 as valid from d group by page_id) select d.page_id, det_idx, label, class, score, x0, y0, x1, y1, read_order from d join n on n.page_id = d.page_id where det_idx < valid""",
 )
 def decode_detections(spark, sf_dir):
-    """Tensors of seven values a row are built and read again; the detector reports 20 valid rows, which is its feature."""
+    """Tensors of seven values a row are built and read again; each page has its own number of valid rows, up to two fewer than the tensor holds."""
     d = _d(spark, sf_dir)
     seven = F.array(F.col("label").cast("float"), "score", "x0", "y0", "x1", "y1", F.col("read_order").cast("float"))
     pages = d.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("det_idx", seven.alias("v")))).alias("r"))
-    tensors = pages.select("page_id", F.flatten(F.transform("r", lambda x: x["v"])).alias("values"), F.lit(20).alias("bbox_num"))
+    tensors = pages.select("page_id", F.flatten(F.transform("r", lambda x: x["v"])).alias("values"), (F.size("r") - F.col("page_id") % 3).cast("int").alias("bbox_num"))
     return L.decode(tensors)
 
 
+_NEXT = ", ".join(f"lead({c}) over (partition by page_id order by det_idx) as o_{c}" for c in ("det_idx", "x0", "y0", "x1", "y1"))
+
+
 @query(
     "box_pairs",
-    f"""{D1} select a.page_id, a.det_idx, b.det_idx as other_idx, {_AREA.format('a.')} as area, {_INTER.format('a.', 'b.')} as inter, {_AP.format('a.')} as area_padded, {_iou('a.', 'b.')} as iou_padded,
-    case when least({_AREA.format('a.')},{_AREA.format('b.')}) = 0 then cast(0 as float) else cast({_INTER.format('a.', 'b.')}/least({_AREA.format('a.')},{_AREA.format('b.')}) as float) end as overlap_small
-    from d a join d b on a.page_id=b.page_id and b.det_idx = a.det_idx + 1""",
+    f"""{D1}, p as (select page_id, det_idx, x0, y0, x1, y1, {_NEXT} from d)
+    select page_id, det_idx, o_det_idx as other_idx, {_AREA.format('')} as area, {_INTER.format('', 'o_')} as inter, {_AP.format('')} as area_padded, {_iou('', 'o_')} as iou_padded,
+    case when least({_AREA.format('')},{_AREA.format('o_')}) = 0 then cast(0 as float) else cast({_INTER.format('', 'o_')}/least({_AREA.format('')},{_AREA.format('o_')}) as float) end as overlap_small,
+    coalesce({_IU} / nullif({_SIDES.format('')} + {_SIDES.format('o_')} - {_IU}, 0), 0) as iou
+    from p where o_det_idx is not null""",
 )
 def box_pairs(spark, sf_dir):
-    d = _d(spark, sf_dir)
-    o = d.select(*[F.col(c).alias("o_" + c) for c in ("page_id", "det_idx", *L.BOX)])
-    p = d.join(o, (F.col("page_id") == F.col("o_page_id")) & (F.col("o_det_idx") == F.col("det_idx") + 1))
+    """Every region with the next one of its page: area, intersection, overlap over the smaller, padded and plain IoU."""
+    w = Window.partitionBy("page_id").orderBy("det_idx")
+    p = _d(spark, sf_dir).select(*KEY, *L.BOX, *[F.lead(c).over(w).alias("o_" + c) for c in ("det_idx", *L.BOX)]).where("o_det_idx is not null")
     a, b = G.box(), G.box("o_")
-    return p.select(*KEY, F.col("o_det_idx").alias("other_idx"), G.area(a).alias("area"), G.intersection(a, b).alias("inter"), G.area_padded(a).alias("area_padded"), G.iou_padded(a, b).alias("iou_padded"), G.overlap_small(a, b).alias("overlap_small"))
+    return p.select(
+        *KEY,
+        F.col("o_det_idx").alias("other_idx"),
+        G.area(a).alias("area"),
+        G.intersection(a, b).alias("inter"),
+        G.area_padded(a).alias("area_padded"),
+        G.iou_padded(a, b).alias("iou_padded"),
+        G.overlap_small(a, b).alias("overlap_small"),
+        G.iou(a, b).alias("iou"),
+    )
+
+
+@query(
+    "worst_nested_pages",
+    f"""{D1}, i as (select distinct a.page_id, a.det_idx from d a join d b on a.page_id=b.page_id and a.det_idx<>b.det_idx and b.class not in {_VIS}
+    and {_AREA.format('a.')} > 0 and {_AREA.format('b.')} > {_AREA.format('a.')} and cast({_INTER.format('a.', 'b.')}/{_AREA.format('a.')} as float) >= cast(0.8 as float))
+    select page_id, count(*) as n_nested from i group by 1 order by n_nested desc, page_id limit 8""",
+)
+def worst_nested_pages(spark, sf_dir):
+    return L.worst_nested(_d(spark, sf_dir), 8)
+
+
+@query(
+    "page_picks",
+    f"""{D1}, c as (select page_id, count(*) as n from d where label = 22 or page_id % 7 = 0 group by 1)
+    (select page_id, n, 'smallest' as pick from c where n between 1 and 2 order by n, page_id limit 3) union all (select page_id, n, 'middle' as pick from c where n between 18 and 26 order by n, page_id limit 3)""",
+)
+def page_picks(spark, sf_dir):
+    """Pages with very few crops and with a middling number; of most pages the regions of one class are counted."""
+    sizes = _d(spark, sf_dir).where("label = 22 or page_id % 7 = 0").groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
+    return S.size_picks(sizes, "page_id", "n", 3)
 
 
 @query(

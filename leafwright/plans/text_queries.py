@@ -28,50 +28,6 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-@query(
-    "assemble_markdown",
-    f"""{B}, v as (select page, read_order, idx, class, {TRIM.format('text')} as t from b where class not in ('chart','image','header_image','footer_image','seal') and class <> 'table')
-    select page, string_agg(case when class='doc_title' then '# ' || t when class in ('paragraph_title','figure_title') then '## ' || t else t end, chr(10) || chr(10) order by read_order, idx) as markdown from v where t <> '' group by page""",
-)
-def assemble_markdown(spark, sf_dir):
-    """Without tables and repair, so that SQL can follow."""
-    return A.assemble(V.blocks(spark, sf_dir).where("class <> 'table'"), repair=False)
-
-
-@query(
-    "assemble_keep_visual",
-    f"""{B}, v as (select page, read_order, idx, class, {TRIM.format('text')} as t from b where class <> 'table')
-    select page, string_agg(case when class='doc_title' then '# ' || t when class in ('paragraph_title','figure_title') then '## ' || t else t end, chr(10) || chr(10) order by read_order, idx) as markdown from v where t <> '' group by page""",
-)
-def assemble_keep_visual(spark, sf_dir):
-    return A.assemble(V.blocks(spark, sf_dir).where("class <> 'table'"), keep_visual=True, repair=False)
-
-
-@query(
-    "page_files",
-    f"""{B}, v as (select page, read_order, idx, {TRIM.format('text')} as t from b where class = 'text')
-    select substr(image_path, 1, length(image_path) - 4) || '.md' as file, string_agg(t, chr(10) || chr(10) order by read_order, idx) || chr(10) as content from v join page_info on page = stem where t <> '' group by image_path""",
-)
-def page_files(spark, sf_dir):
-    md = A.assemble(V.blocks(spark, sf_dir).where("class = 'text'"), repair=False)
-    info = table(spark, sf_dir, "page_info").select(F.col("stem").alias("page"), "image_path")
-    return md.join(info, "page").select(F.concat(A.page_name(F.col("image_path")), F.lit(".md")).alias("file"), F.concat("markdown", F.lit("\n")).alias("content"))
-
-
-@query(
-    "source_documents",
-    f"""{B}, v as (select page, read_order, idx, {TRIM.format('text')} as t from b where class in ('doc_title','paragraph_title')),
-    p as (select page, string_agg(case when true then t end, chr(10) || chr(10) order by read_order, idx) as md from v where t <> '' group by page)
-    select source, string_agg(md || chr(10), chr(10) order by coalesce(page_no, 0), page) as document from p join page_info on page = stem group by source""",
-)
-def source_documents(spark, sf_dir):
-    """Titles of each source's pages, page after page."""
-    b = V.blocks(spark, sf_dir).where("class in ('doc_title', 'paragraph_title')")
-    titles = A.ordered_concat(A.visible_blocks(b), "page", ["read_order", "idx"], "text", out="markdown")
-    info = table(spark, sf_dir, "page_info").select(F.col("stem").alias("page"), "source", F.coalesce("page_no", F.lit(0)).alias("page_no"))
-    return A.document(titles.join(info, "page"), "source", ["page_no", "page"])
-
-
 _T = "from results where class = 'table' and text is not null"
 
 
@@ -162,7 +118,7 @@ def escape_html(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", O.escape(F.col("text")).alias("html"))
 
 
-_LOOP = """select result_id, text || chr(10) || repeat(substr(text, 1, 20) || chr(10), cast(result_id % 60 as int)) as text from results where class = 'text' and text is not null"""
+_LOOP = """select result_id, text || chr(10) || repeat(substr(text, 1, 20) || chr(10), cast(result_id % 60 as int)) as text from results where text is not null"""
 
 
 @query(
@@ -172,7 +128,7 @@ _LOOP = """select result_id, text || chr(10) || repeat(substr(text, 1, 20) || ch
     select result_id, line, cast(n as bigint) as n, cast(total as bigint) as "of" from s where total >= 10 and n >= 10 and 5 * n >= 4 * total""",
 )
 def dominant_line(spark, sf_dir):
-    t = table(spark, sf_dir, "results").where("class = 'text' and text is not null")
+    t = table(spark, sf_dir, "results").where("text is not null")
     looped = t.select("result_id", F.concat("text", F.lit("\n"), F.expr("repeat(concat(substr(text, 1, 20), '\n'), cast(result_id % 60 as int))")).alias("text"))
     return G.dominant_line(looped, "result_id")
 
@@ -193,38 +149,42 @@ def _content_guard(source: str, least: int = C.FLOOR_TEXT) -> str:
       when top is not null and len(list_filter(l, lambda x: x = top)) >= 10 and 5*len(list_filter(l, lambda x: x = top)) >= 4*len(l) then top else t end as text from m"""
 
 
-@query("phrase_repetition", _content_guard("select result_id, text || repeat(substr(text, 1, 9), cast(5 + result_id % 40 as int)) as t from results where class = 'text' and text is not null"))
+@query("phrase_repetition", _content_guard("select result_id, text || repeat(substr(text, 1, 9), cast(5 + result_id % 40 as int)) as t from results where text is not null"))
 def phrase_repetition(spark, sf_dir):
     """A phrase looped behind every text: what the repair leaves."""
-    t = table(spark, sf_dir, "results").where("class = 'text' and text is not null")
+    t = table(spark, sf_dir, "results").where("text is not null")
     looped = F.concat("text", F.expr("repeat(substr(text, 1, 9), 5 + cast(result_id % 40 as int))"))
     return t.select("result_id", G.content_guard(looped, F.lit(C.FLOOR_TEXT)).alias("text"))
 
 
-@query("char_repetition", _content_guard("select result_id, repeat(substr(text, 1, 2), cast(10 + result_id % 60 as int)) as t from results where class = 'text' and length(text) > 2"))
+@query("char_repetition", _content_guard("select result_id, repeat(right(text, 2), cast(10 + result_id % 60 as int)) as t from results where length(text) > 2"))
 def char_repetition(spark, sf_dir):
-    t = table(spark, sf_dir, "results").where("class = 'text' and length(text) > 2")
-    return t.select("result_id", G.content_guard(F.expr("repeat(substr(text, 1, 2), 10 + cast(result_id % 60 as int))"), F.lit(C.FLOOR_TEXT)).alias("text"))
+    """The last characters of every text, over and over: what the repair leaves."""
+    t = table(spark, sf_dir, "results").where("length(text) > 2")
+    return t.select("result_id", G.content_guard(F.expr("repeat(right(text, 2), 10 + cast(result_id % 60 as int))"), F.lit(C.FLOOR_TEXT)).alias("text"))
 
 
 @query(
     "char_tiling",
-    """select result_id, case when result_id % 60 >= 1 then case when substr(text,1,1) = substr(text,2,1) then substr(text,1,1) else substr(text,1,2) end end as unit from results where class = 'text' and length(text) > 2 and not contains(substr(text,1,2), chr(10))""",
+    f"""with a as (select result_id, case when result_id % 60 >= 1 then repeat(text, cast(9 + result_id % 60 as int)) else text end as s from results where length(text) between 3 and 60 and not contains(text, chr(10))),
+    t as (select result_id, s, list_min(list_filter(range(1, length(s)//10 + 1), lambda n: length(s) % n = 0 and repeat(left(s, n), length(s)//n) = s)) as n from a)
+    select result_id, case when length(s) > 10 then left(s, n) end as unit from t""",
 )
 def char_tiling(spark, sf_dir):
-    t = table(spark, sf_dir, "results").where("class = 'text' and length(text) > 2 and not contains(substr(text, 1, 2), '\n')")
-    return t.select("result_id", G.tiling(F.expr("if(result_id % 60 >= 1, repeat(substr(text, 1, 2), 9 + cast(result_id % 60 as int)), substr(text, 1, 3))")).alias("unit"))
+    """Short texts repeated whole; titles, names and formulas are what recognizers tile a page with."""
+    t = table(spark, sf_dir, "results").where("length(text) between 3 and 60 and not contains(text, '\\n')")
+    return t.select("result_id", G.tiling(F.expr("if(result_id % 60 >= 1, repeat(text, 9 + cast(result_id % 60 as int)), text)")).alias("unit"))
 
 
 @query(
     "line_repetition",
-    f"""with a as (select result_id, 'one honest line' || chr(10) || text || repeat(substr(text, 1, 9), cast(5 + result_id % 40 as int)) as t from results where class = 'text' and text is not null),
+    f"""with a as (select result_id, 'one honest line' || chr(10) || text || repeat(substr(text, 1, 9), cast(5 + result_id % 40 as int)) as t from results where text is not null),
     x as (select result_id, unnest(string_split(t, chr(10))) as line, generate_subscripts(string_split(t, chr(10)), 1) as i, length(t) as n from a), y as (select *, {_RTRIM.format("rtrim(line, chr(65533))")} as s from x),
     b as (select *, case when n >= 50 and length(s) > 100 then {_UNIT.format(s='s')} end as u from y), c as (select *, case when u is not null then u * {_COPIES.format(s='s', u='u')} end as eaten from b)
     select result_id, string_agg(case when eaten is not null and 2*eaten > length(s) then left(s, length(s) - eaten) else line end, chr(10) order by i) as text from c group by 1""",
 )
 def line_repetition(spark, sf_dir):
-    t = table(spark, sf_dir, "results").where("class = 'text' and text is not null")
+    t = table(spark, sf_dir, "results").where("text is not null")
     looped = F.concat(F.lit("one honest line\n"), "text", F.expr("repeat(substr(text, 1, 9), 5 + cast(result_id % 40 as int))"))
     return t.select("result_id", G.line_guard(looped, F.lit(C.FLOOR_TEXT)).alias("text"))
 
@@ -272,3 +232,33 @@ _FLAGSHIP = f"""with b as ({V.duck(V.BLOCKS)}), ga as (select *, text as t, {_CO
 def assemble_results(spark, sf_dir):
     """The flagship: repaired texts, tables as HTML, one markdown a page."""
     return A.assemble(V.blocks(spark, sf_dir))
+
+_UNREPAIRED = f"""{B}, v as (select * from (select page, read_order, idx, class, {TRIM.format('text')} as text from b where WHICH) x where text <> ''),
+    {_HTML.replace("RAW", "select idx as result_id, text from v where class = 'table'")}
+    select page, string_agg(case when class = 'doc_title' then '# ' || text when class in ('paragraph_title','figure_title') then '## ' || text when class = 'table' then html else text end, chr(10) || chr(10) order by read_order, idx) as markdown from v left join html on html.result_id = v.idx group by page"""
+
+
+@query("assemble_markdown", _UNREPAIRED.replace("WHICH", "class not in ('chart','image','header_image','footer_image','seal')"))
+def assemble_markdown(spark, sf_dir):
+    """Without the repair of repetitions."""
+    return A.assemble(V.blocks(spark, sf_dir), repair=False)
+
+
+@query("assemble_keep_visual", _UNREPAIRED.replace("WHICH", "true"))
+def assemble_keep_visual(spark, sf_dir):
+    return A.assemble(V.blocks(spark, sf_dir), keep_visual=True, repair=False)
+
+
+@query("page_files", f"""with m as ({_FLAGSHIP}) select substr(image_path, 1, length(image_path) - 4) || '.md' as file, markdown || chr(10) as content from m join page_info on page = stem""")
+def page_files(spark, sf_dir):
+    """Name and content of every page's file, all visible blocks repaired."""
+    info = table(spark, sf_dir, "page_info").select(F.col("stem").alias("page"), "image_path")
+    md = A.assemble(V.blocks(spark, sf_dir)).join(info, "page")
+    return md.select(F.concat(A.page_name(F.col("image_path")), F.lit(".md")).alias("file"), F.concat("markdown", F.lit("\n")).alias("content"))
+
+
+@query("source_documents", f"""with m as ({_FLAGSHIP}) select source, string_agg(markdown || chr(10), chr(10) order by coalesce(page_no, 0), page) as document from m join page_info on page = stem group by source""")
+def source_documents(spark, sf_dir):
+    """All pages of each source, one after the other."""
+    info = table(spark, sf_dir, "page_info").select(F.col("stem").alias("page"), "source", F.coalesce("page_no", F.lit(0)).alias("page_no"))
+    return A.document(A.assemble(V.blocks(spark, sf_dir)).join(info, "page"), "source", ["page_no", "page"])

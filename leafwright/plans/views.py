@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from leafwright import constants as C
+from leafwright.functions.scalars import edit_distance
 from leafwright.session import table
 
 #: Detections on pages of 800 x 1000, about thirty a page, from lineitem.
@@ -25,12 +27,15 @@ from {{lineitem}}) d0"""
 BLOCKS = """
 select stem as page, coalesce(read_order, 0) as read_order, result_id as idx, class, text from {results} where class is not null and text is not null"""
 
-#: Pairs of neighbouring documents as scored samples; ASCII only, as DuckDB's levenshtein counts bytes.
+#: Pairs of neighbouring documents as scored samples, whole texts; the score is the edit distance, or a stand-in that SQL has too.
 SAMPLES = """
 select a.doc_id as doc_id, a.stem as img_id, a.source as source, coalesce(a.lang, 'none') as lang, a.stem as stem, a.g as norm_gt, b.g as norm_pred,
- cast(levenshtein(a.g, b.g) as bigint) as edit_num, cast(greatest(length(a.g), length(b.g)) as bigint) as upper_len
-from (select doc_id, stem, source, lang, substr(regexp_replace(coalesce(text, ''), '[^ -~]', ''{g}), 1, 120) as g from {documents}) a
-join (select doc_id, substr(regexp_replace(coalesce(text, ''), '[^ -~]', ''{g}), 1, 120) as g from {documents}) b on b.doc_id = a.doc_id + 1"""
+ cast(SCORE as bigint) as edit_num, cast(greatest(length(a.g), length(b.g)) as bigint) as upper_len
+from (select doc_id, stem, source, lang, coalesce(text, '') as g from {documents}) a
+join (select doc_id, coalesce(text, '') as g from {documents}) b on b.doc_id = a.doc_id + 1"""
+
+#: DuckDB's levenshtein counts bytes, so what is compared with SQL takes the difference of the lengths for the score.
+LENGTHS = SAMPLES.replace("SCORE", "abs(length(a.g) - length(b.g))")
 
 TIMINGS = """
 select stem, run_id, crops, layout_s, recognize_s, assemble_s from {speed_loadonce} where layout_s is not null and recognize_s is not null and assemble_s is not null and crops is not null"""
@@ -42,11 +47,11 @@ def _names(sql: str) -> list[str]:
 
 def spark_view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     table(spark, sf_dir, "region")  # ships the package
-    return spark.sql(sql.format(g="", **{n: f"parquet.`{sf_dir}/{n}.parquet`" for n in _names(sql)}))
+    return spark.sql(sql.format(**{n: f"parquet.`{sf_dir}/{n}.parquet`" for n in _names(sql)}))
 
 
 def duck(sql: str) -> str:
-    return sql.format(g=", 'g'", **{n: n for n in _names(sql)})
+    return sql.format(**{n: n for n in _names(sql)})
 
 
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +63,22 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark_view(spark, sf_dir, SAMPLES)
+    """Scored by the edit distance of the whole texts.
+
+    The distance takes time, not space, so both sides come in as many parts as the session shuffles into and
+    are not put together again by their small size.
+    """
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    docs = table(spark, sf_dir, "documents").withColumn("g", F.coalesce("text", F.lit("")))
+    a = docs.select("doc_id", (F.col("doc_id") + 1).alias("_next"), "stem", "source", F.coalesce("lang", F.lit("none")).alias("lang"), F.col("g").alias("norm_gt")).repartition(parts, "_next")
+    b = docs.select(F.col("doc_id").alias("_next"), F.col("g").alias("norm_pred")).repartition(parts, "_next")
+    score = edit_distance(F.col("norm_gt"), F.col("norm_pred"))
+    longer = F.greatest(F.length("norm_gt"), F.length("norm_pred")).cast("bigint")
+    return a.join(b, "_next").select("doc_id", F.col("stem").alias("img_id"), "source", "lang", "stem", "norm_gt", "norm_pred", score.alias("edit_num"), longer.alias("upper_len"))
+
+
+def samples_by_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark_view(spark, sf_dir, LENGTHS)
 
 
 def timings(spark: SparkSession, sf_dir: str) -> DataFrame:

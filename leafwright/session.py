@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import io
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,17 +58,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder that all executors see.
+    """A fresh folder that all executors see, deleted when the driver's process ends.
 
-    It lies under ``spark.checkpoint.dir`` where the cluster names one; only a session without that
-    setting (tests on one machine) gets a temporary folder.
+    It lies under ``spark.checkpoint.dir``, or where the session's checkpoint folder was set. Only a local master
+    without that setting gets a temporary folder; on a cluster, whose executors would each write to a folder of
+    their own machine, it is an error.
     """
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="leafwright-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir() or base
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        sc.setCheckpointDir(base)
+        base = sc.getCheckpointDir() or base
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    if not _FOLDERS:
+        atexit.register(_clear)
+    _FOLDERS.append((spark, path))
+    return path
+
+
+_FOLDERS: list[tuple[SparkSession, str]] = []
+
+
+def _clear() -> None:
+    """Delete the folders of this process whose session still runs; what remains is the cluster's to clean up."""
+    for spark, path in _FOLDERS:
+        try:
+            delete(spark, path)
+        except Exception:  # the session has been stopped, and with it the way to its file system
+            if path.startswith(("/", "file:")):
+                shutil.rmtree(path.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def through_disk(df: DataFrame, purpose: str) -> DataFrame:
@@ -74,3 +108,14 @@ def through_disk(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def by_tag(spark: SparkSession, folder: str, tag: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The result kept under a tag: read if it was written whole before, else made, written and read.
+
+    A write that broke off has no success mark and is made again.
+    """
+    path = f"{folder.rstrip('/')}/{tag}"
+    if not exists(spark, f"{path}/_SUCCESS"):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -96,3 +96,16 @@ def test_sets_and_alignment(spark):
         E.require(a, 10, "rows")
     with pytest.raises(KeyError):
         E.subset(spark.createDataFrame([("nope", 0)], "page string, pos int"), a, "page")
+
+
+def test_positions_come_as_number_list_or_json(spark):
+    ann = spark.createDataFrame([("p", i, "text_block", False, float(i), 0.0, i + 1.0, 1.0) for i in range(4)], "page_id string, ord int, category string, ignore boolean, x0 double, y0 double, x1 double, y1 double")
+    for kind, values in (("int", [2, None]), ("array<bigint>", [[2, 2, None], []]), ("string", ["2", "x"]), ("string", ["[2, 2]", "[]"])):
+        sm = spark.createDataFrame([("p", i, v) for i, v in enumerate(values)], f"page_id string, sample_id int, gt_position {kind}")
+        assert {r.sample_id: r.x0 for r in E.locate(sm, ann).collect()} == {0: 2.0, 1: None}
+
+
+def test_ratio_of_the_sides(spark):
+    df = spark.createDataFrame([("LAYOUT_MISS", 6), ("RECOG_SUBST", 2), ("OTHER", 2)], "cause string, edit_num long")
+    assert tuple(E.side_ratio(df).first()) == (6, 2, 0.6, 0.2, 3.0)
+    assert E.side_ratio(df.limit(1)).first().ratio is None and E.side_ratio(df.limit(0)).first().ratio is None

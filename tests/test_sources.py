@@ -36,11 +36,14 @@ def test_files_round_trip(spark, tmp_path):
     W.write_timings(t, str(tmp_path / "t"))
     r = R.read_timings(spark, str(tmp_path / "t")).first()
     assert (r.layout_s, r.recognize_s) == (0.123, 1.0)
-    W.write_markdown(spark.createDataFrame([("pg.png", "# x")], "image_path string, markdown string"), str(tmp_path / "md"))
-    assert os.path.isdir(tmp_path / "md" / "page=pg")
+    pages = spark.createDataFrame([("pg.png", "# x"), ("scans/é 2.jpg", "two\n"), ("none.png", None)], "image_path string, markdown string")
+    assert W.write_markdown(pages, str(tmp_path / "md")) == 2 == W.write_markdown(pages, f"file://{tmp_path}/md")
+    assert {f.name: f.read_text() for f in (tmp_path / "md").iterdir()} == {"pg.md": "# x", "é 2.md": "two\n"}
+    with pytest.raises(Exception, match="no file name"):
+        W.write_files(spark.createDataFrame([("../up", "x")], "n string, v string"), "n", "v", str(tmp_path / "md"))
     (tmp_path / "run.log").write_text("[1] == a ==\n  read_order= 3  text  score=0.9  bbox=[1.0, 2.0, 3.0, 4.5]\nnoise\n[2] == b ==\n[3] == a ==\n  read_order=10 table score=0.5 bbox=[0,0,1,1]\n")
-    lines = R.read_lines(spark, str(tmp_path / "run.log")).withColumnRenamed("file", "file_no")
-    assert [(r.stem, r.read_order, r["class"], r.bbox) for r in R.region_log(lines).collect()] == [("a", 10, "table", [0.0, 0.0, 1.0, 1.0])]
+    lines = R.read_lines(spark, str(tmp_path / "run.log"))
+    assert [(r.stem, r.read_order, r["class"], r.bbox) for r in R.region_log(lines, "file").collect()] == [("a", 10, "table", [0.0, 0.0, 1.0, 1.0])]
     gt = {"layout_dets": [{"category_type": "title", "poly": [0, 0, 1, 1], "order": 1, "text": "t", "ignore": False}], "page_info": {"image_path": "x.png", "height": 2, "width": 3, "page_no": 1, "page_attribute": {"language": "en"}}}
     (tmp_path / "gt.json").write_text(json.dumps([gt]))
     assert R.read_ground_truth(spark, str(tmp_path / "gt.json")).first().image_path == "x.png"
@@ -145,3 +148,108 @@ def test_scorer_log_and_elapsed(spark):
     assert {(r.run, r.slice, r.value) for r in R.scorer_log(t, "text_block").collect()} == {("r", "ALL", 0.5), ("r", "book", 0.25)}
     m = spark.sql("select 'r' run, stem, timestamp(at) at, timestamp('2025-01-01 00:00:09') ended from values ('a', '2025-01-01 00:00:01'), ('b', '2025-01-01 00:00:04') v(stem, at)")
     assert {(r.stem, r.micros) for r in R.page_elapsed(m).collect()} == {("a", 3_000_000), ("b", 5_000_000)}
+
+
+def test_logs_of_several_runs_with_the_same_numbers(spark):
+    rows = [("a.log", 0, "[1] == p =="), ("a.log", 1, "[1] wrote o/p.md in 7s"), ("a.log", 2, "[1] wrote o/p.md in 8s"), ("a.log", 3, "[2] wrote o/x.md in 1s"), ("a.log", 4, "[2] == q =="), ("a.log", 5, "[2] wrote o/q.md in 2s")]
+    rows += [("b.log", 0, "[1] == q =="), ("b.log", 1, "[2] == p =="), ("b.log", 2, "noise"), ("b.log", 3, "[1] wrote o/q.md in 5s"), ("c.log", 0, "[1] wrote o/z.md in 9s"), ("c.log", 1, None)]
+    lines = spark.createDataFrame(rows, "file string, line_no int, value string")
+    assert {r.stem: r.seconds for r in R.timing_log(lines).collect()} == {"p": 8.0, "q": 5.0}
+    second = [("b", 1, "[300/999] p: 4 crops, 10 bytes, 2.5s"), ("a", 9, "[301/999] p: 3 crops, 10 bytes, 1.5s"), ("b", 0, "[302/999] p: 2 crops, 10 bytes, 0.5s"), ("b", 2, "[5/999] p: 9 crops, 10 bytes, 9.5s"), ("b", 3, "[400/999] other: 9 crops, 10 bytes, 9.5s")]
+    got = R.second_timing_log(spark.createDataFrame(second, "file string, line_no int, value string"), spark.createDataFrame([("p",)], "stem string"))
+    assert [tuple(r) for r in got.collect()] == [("p", 4, 2.5)]
+
+
+def test_rendered_pages_are_numbered_in_name_order(spark, tmp_path):
+    for name in ("d/p-10.png", "d/p-02.png", "d/p-01.png", "e/a.png", "e/a.txt"):
+        os.makedirs(tmp_path / name.split("/")[0], exist_ok=True)
+        (tmp_path / name).write_bytes(name.encode())
+    got = {(r.document, r.page_no): bytes(r.content).decode() for r in R.read_page_files(spark, str(tmp_path / "*")).collect()}
+    assert got == {("d", 1): "d/p-01.png", ("d", 2): "d/p-02.png", ("d", 3): "d/p-10.png", ("e", 1): "e/a.png"}
+
+
+def test_model_config(spark, tmp_path):
+    (tmp_path / "c.yaml").write_text("# head\nSub:\n  Layout:\n    threshold: 0.4 # low\n    nms: True\n    mode: 'large'\n    other: 3\n  Rest:\n    threshold: 0.9\nlist:\n  - a: 1\n")
+    defaults = {"Sub.Layout.threshold": 0.3, "Sub.Layout.nms": False, "Sub.Layout.mode": "", "Sub.Layout.ratio": 1.5}
+    assert R.model_config(spark, str(tmp_path / "c.yaml"), defaults) == {"Sub.Layout.threshold": 0.4, "Sub.Layout.nms": True, "Sub.Layout.mode": "large", "Sub.Layout.ratio": 1.5}
+    assert R.model_config(spark, str(tmp_path / "none.yaml"), defaults) == defaults
+    (tmp_path / "bad.yaml").write_text("k: many\n")
+    with pytest.raises(ValueError):
+        R.model_config(spark, str(tmp_path / "bad.yaml"), {"k": 1})
+
+
+def test_what_hangs_is_killed_and_its_page_skipped(spark):
+    def load():
+        import os
+        import signal
+        import time
+
+        def model(row):
+            if row["crop"] == "hang":  # nothing in this process answers any more
+                os.kill(os.getpid(), signal.SIGSTOP)
+            if row["crop"] == "slow":
+                time.sleep(1.6)
+            if row["crop"] == "die":
+                os._exit(3)
+            if row["crop"] == "bad":
+                raise ValueError("no")
+            return row["crop"].upper()
+
+        return model
+
+    rows = [(i % 2, c) for i, c in enumerate(["a", "hang", "slow", "b", "die", "bad", "c"])]
+    tasks = spark.createDataFrame(rows, "page_id int, crop string").coalesce(1)
+    got = plugins.recognize(tasks, load, budget_s=1.0).collect()
+    assert {r.crop: (r.text, r.error) for r in got if r.error is None} == {"a": ("A", None), "b": ("B", None), "c": ("C", None), "slow": ("", None)}
+    errors = {r.crop: r.error for r in got if r.error}
+    assert errors["hang"] == plugins.SKIP and "ended" in errors["die"] and errors["bad"] == "ValueError: no"
+    done = spark.createDataFrame(got, plugins.recognize(tasks, load).schema)
+    assert [tuple(r) for r in plugins.skipped(done).collect()] == [(1, 1)]
+
+
+def test_a_server_that_is_gone_is_waited_for_or_ends_the_run(spark, tmp_path):
+    flag = str(tmp_path / "up")
+
+    def load():
+        import os
+
+        def model(row):
+            if not os.path.exists(flag):
+                raise ConnectionRefusedError("down")
+            return "ok"
+
+        return model
+
+    def restart():
+        open(flag, "w").close()
+        return True
+
+    tasks = spark.createDataFrame([("p", "c")], "page_id string, crop string")
+    with pytest.raises(Exception, match="ServerGone"):
+        plugins.recognize(tasks, load, wait_s=0.1, alive=lambda: False, server_wait_s=0.5).collect()
+    assert plugins.recognize(tasks, load, wait_s=0.1, alive=restart).first().text == "ok"
+
+
+def test_kept_by_tag(spark, tmp_path):
+    from leafwright.session import by_tag
+
+    made = []
+
+    def make():
+        made.append(1)
+        return spark.range(len(made))
+
+    assert by_tag(spark, str(tmp_path), "t", make).count() == 1 == by_tag(spark, str(tmp_path), "t", make).count()
+    os.remove(tmp_path / "t" / "_SUCCESS")
+    assert by_tag(spark, str(tmp_path), "t", make).count() == 2 == by_tag(spark, str(tmp_path), "t", make).count() and len(made) == 2
+
+
+def test_no_folder_of_one_machine_on_a_cluster():
+    from types import SimpleNamespace
+
+    from leafwright.session import shared_dir
+
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="local-cluster[3,2,1000]")
+    conf = SimpleNamespace(get=lambda name, default: default)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(sparkContext=sc, conf=conf), "x")
