@@ -258,9 +258,83 @@ def test_templates_and_clean_text(spark):
     assert clean[25] == "Tom & Ann" and markup.residue(df.limit(0)).count() == 0
 
 
+def deduced(spark, texts, sources=None):
+    """Of texts, the template as {(source, class): (tokens, parent)}."""
+    rows = [(i, t, "text", (sources or ["a"] * len(texts))[i]) for i, t in enumerate(texts)]
+    found = markup.pages(spark.createDataFrame(rows, "result_id long, text string, class string, source string"), "result_id", "text", "class", "source")
+    out = {}
+    for r in markup.template(found.cache()).collect():
+        out.setdefault((r.source, r["class"]), (set(), r.parent))[0].add(r.token)
+    return out
+
+
+def test_a_template_of_plain_words_is_found_with_its_signs(spark):
+    rng = random.Random(5)
+    other = [f"v{i}" for i in range(400)]
+    texts = [f"Catalogue entry <b>{rng.choice(other)}</b> shelf {rng.choice(other)} <b>{rng.choice(other)}</b> {rng.choice(other)}" for _ in range(40)]
+    got = deduced(spark, texts)
+    classes = {frozenset(t) for t, _ in got.values()}
+    assert frozenset({"w Catalogue", "w entry", "w shelf"}) in classes  # once a page, as the signs are twice
+    assert frozenset({"<b open", "<b close"}) in classes
+    assert not any(t & {f"w {o}" for o in other} and len(t) > 3 for t, _ in got.values())
+
+
+def test_equal_counts_in_changing_order_make_no_class(spark):
+    texts = [f"<i>x{i}</i> {{{{a|y{i}}}}}" if i % 2 else f"{{{{a|y{i}}}}} <i>x{i}</i>" for i in range(40)]
+    got = deduced(spark, texts)
+    assert not any("<i open" in t and "{{ open" in t for t, _ in got.values())
+    assert not any("<i open" in t for t, _ in got.values())  # they share all vectors, so no class of them is left
+    texts = [f"b</u> mid{i} <u>a" for i in range(30)]  # the closer comes first
+    assert not any("<u open" in t for t, _ in deduced(spark, texts).values())
+
+
+def test_vectors_that_differ_make_no_class(spark):
+    texts = [f"see <em>this{i}" for i in range(20)] + [f"that</em> there{i}" for i in range(20)] + [f"<p>whole {i}</p>" for i in range(20)]
+    got = [t for t, _ in deduced(spark, texts).values()]
+    assert any({"<p open", "<p close"} <= t for t in got) and not any(t & {"<em open", "<em close"} for t in got)
+
+
+def test_classes_nest_by_what_surrounds_them(spark):
+    texts = [f"<div>lead{i} <p>in{i}</p> tail{i}</div>" if i % 2 else f"<div>lead{i} tail{i}</div>" for i in range(60)]
+    got = deduced(spark, texts)
+    parent = {c: p for (s, c), (_, p) in got.items() if s == "a"}
+    div = next(c for c in parent if c.startswith("<div"))
+    para = next(c for c in parent if c.startswith("<p "))
+    assert parent[para] == div and parent[div] is None
+    # what cuts across others is no template's, between classes and within one
+    for texts in ([f"<div>x{i} <p>y{i}</div> z{i}</p>" if i % 2 else f"<div>x{i} </div>" for i in range(60)], [f"<div>x{i} <p>y{i}</div> z{i}</p>" for i in range(60)]):
+        assert not any("<p open" in t for t, _ in deduced(spark, texts).values())
+
+
+def test_separators_recur_with_slots_that_differ(spark):
+    texts = [f"one{i}<br>two{i}" for i in range(10)] + ["x &amp; y", "<hr>"] + ["<wbr>"] * 5
+    got = deduced(spark, texts)
+    assert any("<br>" in t for t, _ in got.values()) and not any(t & {"&;", "<hr>", "<wbr>"} for t, _ in got.values())
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["*" + "long emphasis " * 40 + "ends*", "[" + "label " * 80 + "](" + "a" * 400 + ".md)", "&lt;span class=" + "x" * 120 + "&gt;y", "$" + "a+b" * 80 + "^{2}$"],
+)
+def test_signs_of_any_length(text):
+    assert markup.signs("text", text)
+
+
+def test_signs_cover_each_other_nowhere():
+    rng = random.Random(9)
+    bits = ["<p>", "</p>", "**", "*", "_", "`", "```", "\n", "[[a|", "]]", "{{", "}}", "{|", "|}", "|", "$x^2$", "$$", "\\[", "\\]", "\\emph{", "}", "&amp;", "&lt;b&gt;", "== h ==", "# ", "- ", "word", " ", "<!--", "-->", "[t](u)", "''", "<pre>", "</pre>", "\\begin{verbatim}", "\\end{verbatim}", "%"]
+    for _ in range(600):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(1, 25)))
+        for kind in ("text", "table", "display_formula", "algorithm", "chart", None):
+            found = markup.signs(kind, text)
+            assert all(a.end <= b.start for a, b in zip(found, found[1:])) and all(s.start <= s.end for s in found), text
+            assert isinstance(markup.clean(text, kind), str)
+
+
 @pytest.mark.parametrize(
     "kind,text,want",
     [
+        ("text", "\\begin{itemize}\n\\item one\n\\item two\n\\end{itemize}", "- one\n- two"),
         ("text", "<h2>Head</h2>Body <b>bold</b><br>next", "## Head\nBody bold\nnext"),
         ("text", "<ul><li>one</li><li>two</li></ul>", "- one\n- two"),
         ("text", "== Head ==\n* one\n** two", "# Head\n- one\n- two"),
