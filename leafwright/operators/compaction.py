@@ -19,6 +19,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leafwright.session import through_disk
+
 RECORD = ("kind", "stem", "item")
 #: Payload columns of both record kinds; a kind leaves the other's columns null.
 PAYLOAD = (
@@ -172,7 +174,7 @@ class CompactStore:
         when = F.col("written_at").cast("timestamp_ntz")
         dated = records.join(files.select("file_id", when.alias("written_at")), "file_id", "left")
         part = F.pmod(F.xxhash64(*RECORD), F.lit(n)).cast("int").alias("part")
-        placed = dated.select(*[c for c in dated.columns if c != "part"], part)
+        placed = through_disk(dated.select(*[c for c in dated.columns if c != "part"], part), "arrivals")  # read twice, cleaned up once
         counts = placed.groupBy("kind", "part").agg(F.countDistinct(F.coalesce("file_id", F.lit(-1))).alias("n")).collect()  # n buckets of two kinds
         waiting = {f"{r['kind']}/{r['part']}": r["n"] for r in counts}
         if start.version and n != start.n_parts:
