@@ -106,28 +106,49 @@ def suspects(text: str) -> dict[str, str]:
 
 
 def _first_pass(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(k, raw, look, folded, tokens, words): digests of the text as it is and folded; for the few texts with suspects the folded text and these; the words that only the fold has."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            look, folded, tokens = [], [], []
+            look, folded, tokens, words = [], [], [], []
             for t in b.column(2).to_pylist():
                 f = fold(t) if t else t
                 s = suspects(f) if f else {}
                 look.append(hashlib.md5(f.encode("utf-8", "replace"), usedforsecurity=False).digest() if f else None)
                 folded.append(f if s else None)
                 tokens.append(list(s.items()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(look, pa.binary()), pa.array(folded, pa.string()), pa.array(tokens, pa.map_(pa.string(), pa.string()))], ["k", "raw", "look", "folded", "tokens"])
+                words.append(sorted(set(_LETTERS.findall(f)) - set(_LETTERS.findall(t))) if f and f != t else [])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(look, pa.binary()), pa.array(folded, pa.string()), pa.array(tokens, pa.map_(pa.string(), pa.string())), pa.array(words, pa.list_(pa.string()))],
+                ["k", "raw", "look", "folded", "tokens", "words"],
+            )
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(df[key].alias("k"), F.xxhash64(df[text]).alias("raw"), df[text].alias("t")).mapInArrow(run, f"k {kind}, raw bigint, look binary, folded string, tokens map<string,string>")
+    return df.select(df[key].alias("k"), F.xxhash64(df[text]).alias("raw"), df[text].alias("t")).mapInArrow(run, f"k {kind}, raw bigint, look binary, folded string, tokens map<string,string>, words array<string>")
 
 
 def _known(first: DataFrame, df: DataFrame, text: str) -> DataFrame:
-    """(token, fixed) of the suspects whose repaired word the corpus holds."""
+    """(token, fixed) of the suspects whose repaired word the corpus holds, as it stands or folded."""
     wanted = first.where(F.col("folded").isNotNull()).select(F.explode("tokens").alias("token", "fixed")).distinct()
-    words = df.select(F.explode(F.split(F.col(text), r"[^\p{L}\p{M}]+")).alias("w")).where("w <> ''").distinct()
+    words = df.select(F.explode(F.split(F.col(text), r"[^\p{L}\p{M}]+")).alias("w")).where("w <> ''")
+    words = words.unionByName(first.select(F.explode("words").alias("w"))).distinct()
     return wanted.join(words, F.col("fixed") == F.col("w"), "left_semi")
 
 
+def _repairs(first: DataFrame, df: DataFrame, text: str) -> DataFrame:
+    """(k, raw, folded, use): the rows with suspects and what to put for which token."""
+    known = _known(first, df, text)
+    rows = first.where(F.col("folded").isNotNull()).select("k", "raw", "folded", "tokens")
+    good = rows.select("k", "raw", F.explode("tokens").alias("token", "fixed")).join(known, ["token", "fixed"], "left_semi")
+    by_row = good.groupBy("k", "raw").agg(F.map_from_entries(F.collect_set(F.struct("token", "fixed"))).alias("use"))
+    return rows.drop("tokens").join(by_row, ["k", "raw"], "left")
+
+
+def _put(folded: str, use) -> str:
+    d = dict(use or ())
+    return _LETTERS.sub(lambda m: d.get(m.group(), m.group()), folded) if d else folded
+
+
 def looks(df: DataFrame, key: str = "result_id", text: str = "text") -> DataFrame:
     """(k, raw, look): for each row a digest of the text as it is and of its consistent form.
 
@@ -135,36 +156,66 @@ def looks(df: DataFrame, key: str = "result_id", text: str = "text") -> DataFram
     that of the whole corpus.
     """
     first = through_disk(_first_pass(df, key, text), "looks")
-    known = _known(first, df, text)
-    rows = first.where(F.col("folded").isNotNull())
-    good = rows.select("k", "raw", F.explode("tokens").alias("token", "fixed")).join(known, ["token", "fixed"], "left_semi")
-    by_row = good.groupBy("k", "raw").agg(F.map_from_entries(F.collect_set(F.struct("token", "fixed"))).alias("use"))
-    fixed = rows.drop("tokens").join(by_row, ["k", "raw"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for f, use in zip(b.column(3).to_pylist(), b.column(4).to_pylist()):
-                d = dict(use or ())
-                t = _LETTERS.sub(lambda m: d.get(m.group(), m.group()), f) if d else f
-                out.append(hashlib.md5(t.encode("utf-8", "replace"), usedforsecurity=False).digest())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], ["k", "raw", "look"])
+            texts = map(_put, b.column(2).to_pylist(), b.column(3).to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([hashlib.md5(t.encode("utf-8", "replace"), usedforsecurity=False).digest() for t in texts], pa.binary())], ["k", "raw", "look"])
 
     kind = df.schema[key].dataType.simpleString()
-    repaired = fixed.select("k", "raw", "look", "folded", "use").mapInArrow(run, f"k {kind}, raw bigint, look binary")
+    repaired = _repairs(first, df, text).select("k", "raw", "folded", "use").mapInArrow(run, f"k {kind}, raw bigint, look binary")
     return first.where(F.col("folded").isNull() & F.col("look").isNotNull()).select("k", "raw", "look").unionByName(repaired)
 
 
-def same_look(df: DataFrame, key: str = "result_id", text: str = "text") -> DataFrame:
-    """Pairs (a < b) of rows whose texts look the same and are different character sequences.
+def consistent(df: DataFrame, key: str = "result_id", text: str = "text") -> DataFrame:
+    """(key, text): every row with its one consistent text; rows whose texts look the same have equal ones.
+
+    Null and empty texts stay as they are; a text of nothing but characters without width comes out empty.
+    """
+    first = through_disk(_first_pass(df, key, text), "looks")
+    use = _repairs(first, df, text).where(F.col("use").isNotNull()).select(F.col("k").alias("_k"), F.col("raw").alias("_raw"), "use").dropDuplicates(["_k", "_raw"])
+    rows = df.select(df[key].alias("k"), df[text].alias("t")).join(use, (F.col("k") == F.col("_k")) & (F.xxhash64("t") == F.col("_raw")), "left").select("k", "t", "use")
 
-    Looks with a single character sequence, which almost all are, drop out in a map-side aggregate. Of the
-    rest, the different sequences of a look are paired first, and only then does each side get its rows, so
-    that exact copies, however many, never meet each other.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = [_put(fold(t), u) if t else t for t, u in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], ["k", "text"])
+
+    return rows.mapInArrow(run, f"k {df.schema[key].dataType.simpleString()}, text string").withColumnRenamed("k", key)
+
+
+def members(df: DataFrame, key: str = "result_id", text: str = "text") -> DataFrame:
+    """(look, raw, k): the rows of every look that more than one character sequence has.
+
+    Looks with a single sequence, which almost all are, drop out in a map-side aggregate.
     """
     seen = through_disk(looks(df, key, text), "look-keys")
     several = seen.groupBy("look").agg(F.min("raw").alias("x"), F.max("raw").alias("y")).where("x <> y").select("look")
-    rows = through_disk(seen.join(several, "look", "left_semi"), "look-rows")
+    return seen.join(several, "look", "left_semi").select("look", "raw", "k")
+
+
+def look_classes(df: DataFrame, key: str = "result_id", text: str = "text") -> DataFrame:
+    """(key, class_id, form_id, n_forms, n_rows): membership of the rows that others look like, copies not expanded.
+
+    A class is a look, named by its first key; a form is one character sequence of it, named by its own first key.
+    ``n_forms`` and ``n_rows`` are those of the class. Aggregates are small beside the rows and are made on the map side.
+    """
+    rows = through_disk(members(df, key, text), "look-rows")
+    forms = rows.groupBy("look", "raw").agg(F.min("k").alias("form_id"), F.count(F.lit(1)).alias("n"))
+    whole = forms.groupBy(F.col("look").alias("_l")).agg(F.min("form_id").alias("class_id"), F.count(F.lit(1)).alias("n_forms"), F.sum("n").alias("n_rows"))
+    named = forms.join(whole, F.col("look") == F.col("_l")).select(F.col("look").alias("_l"), F.col("raw").alias("_r"), "class_id", "form_id", "n_forms", "n_rows")
+    met = rows.join(named, (F.col("look") == F.col("_l")) & (F.col("raw") == F.col("_r")))
+    return met.select(F.col("k").alias(key), "class_id", "form_id", "n_forms", "n_rows")
+
+
+def same_look(df: DataFrame, key: str = "result_id", text: str = "text") -> DataFrame:
+    """Pairs (a < b) of rows whose texts look the same and are different character sequences.
+
+    The different sequences of a look are paired first, and only then does each side get its rows, so that exact
+    copies never meet each other. All pairs of rows of two sequences come out, as is asked of this result; where
+    copies are many, ``look_classes`` says the same in one row each.
+    """
+    rows = through_disk(members(df, key, text), "look-rows")
     forms = rows.select("look", "raw").distinct()
     p, q = forms.select("look", F.col("raw").alias("ra")), forms.select("look", F.col("raw").alias("rb"))
     pairs = p.join(q, "look").where("ra < rb")

@@ -24,6 +24,16 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.same_look(table(spark, sf_dir, "results"))
 
 
+def p2_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one consistent text of every result."""
+    return lookalike.consistent(table(spark, sf_dir, "results"))
+
+
+def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The results that others look like: class, form, and how many forms and rows the class has."""
+    return lookalike.look_classes(table(spark, sf_dir, "results"))
+
+
 def _untabled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "results").where(F.coalesce("class", F.lit("")) != "table").select("result_id", "text")
 
@@ -89,6 +99,11 @@ def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill_report(p9_placements(spark, sf_dir), table(spark, sf_dir, "containers"))
 
 
+def p9_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fullest containers of each kind by tokens, segments and loss-bearing tokens, and how many break a limit: none."""
+    return packing.limit_report(p9_placements(spark, sf_dir), table(spark, sf_dir, "containers"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with characters that came from a wrong decoding."""
     return mojibake.affected(table(spark, sf_dir, "documents"), whole=False).select("doc_id").distinct()
@@ -103,6 +118,8 @@ QUERIES = {
     "p1_found": p1_found,
     "p1_clean": p1_clean,
     "p2_found": p2_found,
+    "p2_texts": p2_texts,
+    "p2_classes": p2_classes,
     "p3_found": p3_found,
     "p3_shares": p3_shares,
     "p4_found": p4_found,
@@ -115,6 +132,7 @@ QUERIES = {
     "p8_ids": p8_ids,
     "p9_placements": p9_placements,
     "p9_fill": p9_fill,
+    "p9_limits": p9_limits,
     "p10_found": p10_found,
     "p10_restored": p10_restored,
 }

@@ -13,6 +13,7 @@ text; lone surrogates cannot occur in a Spark string.
 from __future__ import annotations
 
 import base64
+import os
 import re
 import sys
 import unicodedata
@@ -23,7 +24,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 TOKENIZER_DIR = "/opt/tokenizers"
 DEFAULT_VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -153,8 +154,11 @@ class PrefixBpe:
         whole = self.ranks.get(data)
         if whole is not None and self.compatible(-1, whole):
             return (whole,)
-        last = self.extend(data, [-1])
-        out, i = [], len(data)
+        return self.walk(self.extend(data, [-1]))
+
+    def walk(self, last: list[int]) -> tuple[int, ...]:
+        """The ids that a filled table tells, from its end backwards."""
+        out, i = [], len(last) - 1
         while i:
             out.append(last[i])
             i -= len(self.words[last[i]])
@@ -198,12 +202,26 @@ class _Recut(Exception):
 
 
 class Editable:
-    """An encoded text that can be appended to and edited without encoding it anew."""
+    """An encoded text that can be appended to and edited without encoding it anew.
+
+    Pieces away from the change keep their ids. The table of the piece that was encoded last stays, so that one which
+    shares its beginning, as a growing or edited piece does, goes on from there.
+    """
 
     def __init__(self, bpe: PrefixBpe, text: str = ""):
         self.bpe, self.text, self.pieces = bpe, "", []
+        self.table: tuple[bytes, list[int]] = (b"", [-1])
+        self.filled = 0  # entries of tables that were computed
         self.append(text)
 
+    def _piece(self, w: str) -> tuple[int, ...]:
+        data, (old, last) = w.encode("utf-8", "replace"), self.table
+        shared = len(os.path.commonprefix([data, old]))
+        last = last[: shared + 1]
+        self.filled += len(data) - shared
+        self.table = (data, self.bpe.extend(data, last))
+        return self.bpe.walk(self.table[1])
+
     @property
     def ids(self) -> list[int]:
         return [i for _, ids in self.pieces for i in ids]
@@ -212,7 +230,7 @@ class Editable:
         # the last two pieces may grow or, as blanks, be cut differently once more text follows
         keep = max(0, len(self.pieces) - 2)
         tail = "".join(w for w, _ in self.pieces[keep:]) + more
-        self.pieces = self.pieces[:keep] + [(w, self.bpe.piece(w)) for w in self.bpe.split(tail)]
+        self.pieces = self.pieces[:keep] + [(w, self._piece(w)) for w in self.bpe.split(tail)]
         self.text += more
 
     def replace(self, start: int, end: int, new: str) -> None:
@@ -233,15 +251,25 @@ class Editable:
             if pos in old and pos > start + len(new) + 2:
                 fresh += self.pieces[old[pos] :]
                 break
-            fresh.append((w, self.bpe.piece(w)))
+            fresh.append((w, self._piece(w)))
             pos += len(w)
         self.text, self.pieces = text, self.pieces[:keep] + fresh
 
 
 @lru_cache(maxsize=4)
+def parse(data: bytes) -> PrefixBpe:
+    return PrefixBpe({base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())})
+
+
 def load(path: str) -> PrefixBpe:
     with open(path, "rb") as f:
-        return PrefixBpe({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)})
+        return parse(f.read())
+
+
+def _sent(spark: SparkSession, path: str | None):
+    """The vocabulary file's bytes for all tasks (about 1 MB), read where the driver runs; executors need no file."""
+    with open(path or vocabulary_path(), "rb") as f:
+        return spark.sparkContext.broadcast(f.read())
 
 
 def vocabulary_path(name: str = DEFAULT_VOCABULARY, folder: str = TOKENIZER_DIR) -> str:
@@ -250,11 +278,11 @@ def vocabulary_path(name: str = DEFAULT_VOCABULARY, folder: str = TOKENIZER_DIR)
 
 def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """(key, ids) of every row; one pass, no shuffle."""
-    path = path or vocabulary_path()
+    vocabulary = _sent(df.sparkSession, path)
     source = df.select(df[key].alias("k"), df[text].alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = load(path).encoder()
+        enc = parse(vocabulary.value).encoder()
         for b in batches:
             lists = [enc(t) for t in b.column(1).to_pylist()]
             offsets = np.zeros(len(lists) + 1, np.int32)
@@ -268,11 +296,11 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | N
 
 def sizes(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """(key, n_tokens, n_loss): the length in tokens and how many of them bear loss (all but heading lines)."""
-    path = path or vocabulary_path()
+    vocabulary = _sent(df.sparkSession, path)
     source = df.select(df[key].alias("k"), df[text].alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = load(path).encoder()
+        enc = parse(vocabulary.value).encoder()
         heading = regex.compile(r"(?m)^#{1,6} .*$").findall
         for b in batches:
             n, loss = [], []

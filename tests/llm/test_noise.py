@@ -158,12 +158,23 @@ def test_pairs_agree_with_brute_force(spark):
     text = dict(rows)
     want = {(a, b) for a in key for b in key if a < b and key[a] == key[b] and text[a] != text[b]}
     assert got == want and len(want) > 20
-    assert lookalike.same_look(df.limit(0)).count() == 0
+    one = {r.result_id: r.text for r in lookalike.consistent(df).collect()}
+    assert len(one) == len(rows) and one[100] is None and one[101] == one[103] == ""
+    assert {(a, b) for a in key for b in key if a < b and one[a] == one[b] and text[a] != text[b]} == want
+    of = {r.result_id: r for r in lookalike.look_classes(df).collect()}
+    assert set(of) == {x for pair in want for x in pair}
+    assert {(a, b) for a in of for b in of if a < b and of[a].class_id == of[b].class_id and of[a].form_id != of[b].form_id} == want
+    for r in of.values():
+        mine = [x for x in of.values() if x.class_id == r.class_id]
+        assert (r.n_rows, r.n_forms) == (len(mine), len({x.form_id for x in mine})) and r.class_id == min(x.result_id for x in mine)
+    assert all(f(df.limit(0)).count() == 0 for f in (lookalike.same_look, lookalike.consistent, lookalike.look_classes))
 
 
 def test_only_known_words_are_repaired(spark):
     df = spark.createDataFrame([(1, "mοrning ferry"), (2, "morning ferry"), (3, "unknοwn ferry")], "result_id long, text string")
     assert {tuple(r) for r in lookalike.same_look(df).collect()} == {(1, 2)}
+    df = spark.createDataFrame([(1, "mοrning"), (2, "\uff4d\uff4f\uff52\uff4e\uff49\uff4e\uff47")], "result_id long, text string")
+    assert {tuple(r) for r in lookalike.same_look(df).collect()} == {(1, 2)}  # known in its folded form only
 
 
 # problem 3
