@@ -7,15 +7,21 @@ left out of the second. At work, the filters are folded into tables by byte pair
 in batches.
 
 A text is cut into sentences; a sentence is as long as it takes of windows, whose log probabilities add
-up. The script of the letters is held against the result: a sentence in Han characters is not German.
-
-Defined results: null, empty and blank texts and texts without a whole sentence have no segment; blank
-labels and fillers count as missing; a label in another spelling of the same language is right.
+up. The network has the say; the script of the letters only vetoes, as a sentence in Han characters is not
+German. The confidence is the network's, less what letters take from it that the language's training texts do
+not have: so a language that was not trained comes out with little. Below ``LEAST_CONFIDENCE`` a text's language
+is undetermined, ``und``.
+
+Defined results: for ``mislabelled``, null, empty and blank texts and texts without a whole sentence have no
+language; blank labels and fillers count as missing; a label in another spelling of the same language is right.
+``detect`` and ``segments`` give every text at least one row: one without a whole sentence is read as it stands, and
+one of hardly any letters is ``und`` with confidence 0.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +47,8 @@ WINDOW, WIDTHS, FILTERS = 64, (2, 3, 4), 16
 #: Labelled texts the network is fitted on (a bound; the rest of the corpus is only read by it).
 TRAINING_TEXTS = 4000
 EPOCHS, BATCH, RATE = 3, 128, 0.08
+#: Below this a text's language is undetermined; how much a letter that the language's texts lack takes away.
+UNDETERMINED, LEAST_CONFIDENCE, STRANGE = "und", 0.5, 30.0
 #: A language besides a text's main one needs this confidence in some sentence.
 SECOND_CONFIDENCE = 0.8
 
@@ -96,6 +104,7 @@ class ByteNet:
         self.bias = np.zeros(len(WIDTHS) * FILTERS, np.float32)
         self.out = (rng.standard_normal((len(WIDTHS) * FILTERS, len(LANGS))) * 0.1).astype(np.float32)
         self.base = np.zeros(len(LANGS), np.float32)
+        self.letters: dict[str, frozenset[str]] = {}
 
     def _pool(self, x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         tops, where = [], []
@@ -186,8 +195,11 @@ def _stack(cuts: list[bytes]) -> np.ndarray:
 def train(texts: list[str], langs: list[str]) -> ByteNet:
     """Fit on labelled texts in two rounds; the second leaves out texts that the first contradicts."""
     cuts, y, owner = [], [], []
+    seen: dict[str, Counter[str]] = {x: Counter() for x in LANGS}
     for i, (t, lang) in enumerate(zip(texts, langs)):
-        for s in sentences(t)[:4]:
+        found = sentences(t)
+        for s in found[:: max(1, len(found) // 4)][:4]:  # from all parts of a long text
+            seen[lang].update(set(s.lower()))
             for w in windows(s.lower().encode("utf-8", "replace"))[:3]:
                 cuts.append(w)
                 y.append(LANGS.index(lang))
@@ -198,9 +210,10 @@ def train(texts: list[str], langs: list[str]) -> ByteNet:
     x, y, owner = _stack(cuts), np.array(y), np.array(owner)
     net.fit(x, y, 1)
     keep = net.logp(x).argmax(1) == y
-    if keep.sum() > 100:
+    if keep.any():
         x, y = x[keep], y[keep]
     net.fit(x, y, EPOCHS - 1, seed=12)
+    net.letters = {lang: frozenset(c for c, n in k.items() if n > 1) for lang, k in seen.items()}
     return net
 
 
@@ -214,21 +227,28 @@ def training_sample(df: DataFrame, key: str, text: str, label: str, kind: str |
         rows = rows.where(F.coalesce(F.col(kind), F.lit("text")).isin(*PROSE))
     share = min(1.0, TRAINING_TEXTS / max(1, rows.count()))
     picked = rows.where((F.pmod(F.xxhash64(key), F.lit(1_000_000)) < int(share * 1_000_000)) & (F.length(text) >= 40))
-    found = sorted((r["t"], r["_l"]) for r in picked.select(F.substring(text, 1, 600).alias("t"), "_l").collect())
+    found = sorted((r["t"], r["_l"]) for r in picked.select(F.col(text).alias("t"), "_l").collect())
     return [t for t, _ in found], [x for _, x in found]
 
 
-def _allowed(s: str) -> tuple[str, ...]:
+def _scripts(s: str) -> tuple[str, ...]:
+    """The languages whose script leads among the letters of ``s``."""
     han, cyr, lat = 2 * len(_HAN.findall(s)), len(_CYR.findall(s)), len(_LAT.findall(s))
     top = max(han, cyr, lat)
     return ("zh",) if han == top else ("ru",) if cyr == top else ("en", "de", "fr", "es", "pt")
 
 
-def classify(texts: list[str | None], tables: Tables) -> list[list[tuple[str, str, float]]]:
-    """For each text its sentences as (sentence, language, confidence)."""
+def _as_it_stands(text: str) -> list[str]:
+    """A text without a whole sentence as one piece, if it has letters to tell by."""
+    s = _NEWLINE.sub(" ", _MARKUP.sub(" ", text)).strip()
+    return [s] if len(_LAT.findall(s)) + len(_CYR.findall(s)) + 3 * len(_HAN.findall(s)) >= 6 else []
+
+
+def classify(texts: list[str | None], tables: Tables, every: bool = False) -> list[list[tuple[str, str, float]]]:
+    """For each text its sentences as (sentence, language, confidence); with ``every``, texts without one as they stand."""
     cuts, spans, owners = [], [], []
     for i, t in enumerate(texts):
-        for s in sentences(t) if t else ():
+        for s in (sentences(t) or (every and _as_it_stands(t)) or ()) if t else ():
             w = windows(s.lower().encode("utf-8", "replace"))
             spans.append((len(cuts), len(w), s))
             owners.append(i)
@@ -238,13 +258,23 @@ def classify(texts: list[str | None], tables: Tables) -> list[list[tuple[str, st
         return out
     lp = tables.logp(_stack(cuts))
     total = np.add.reduceat(lp, [a for a, _, _ in spans], axis=0)
+    known = tables.net.letters
     for (_, n, s), i, v in zip(spans, owners, total):
-        allowed = _allowed(s)
         v = np.exp((v - v.max()) / max(1, n) * min(n, 2))
         v /= v.sum()
-        lang = max(allowed, key=lambda x: v[LANGS.index(x)])
-        part = sum(float(v[LANGS.index(x)]) for x in allowed)
-        out[i].append((s, lang, float(v[LANGS.index(lang)]) / part if part > 1e-6 else 0.5))
+        k = int(v.argmax())
+        allowed = _scripts(s)
+        if LANGS[k] not in allowed:
+            k = max((LANGS.index(x) for x in allowed), key=v.__getitem__)
+        lang, sure = LANGS[k], float(v[k])
+        have = known.get(lang)
+        if have:
+            low = s.lower()
+            strange = set(low) - have
+            if strange:
+                share = sum(low.count(c) for c in strange if c.isalpha()) / len(low)
+                sure *= float(np.exp(-STRANGE * share)) if lang != "zh" else 1.0  # too many signs for a sample to have all
+        out[i].append((s, lang, sure))
     return out
 
 
@@ -266,12 +296,9 @@ def _fitted(df: DataFrame, key: str, text: str, label: str, kind: str | None):
 
 
 def detect(df: DataFrame, key: str = "result_id", text: str = "text", label: str = "lang", kind: str | None = "class") -> DataFrame:
-    """(key, labelled, lang, confidence): a row per language of each text with sentences; ``labelled`` is what the label names."""
+    """(key, labelled, lang, confidence): a row per language of every text; ``labelled`` is what the label names."""
     net = _fitted(df, key, text, label, kind)
-    rows = df.where(F.length(text) >= 6)
-    if kind:
-        rows = rows.where(F.coalesce(F.col(kind), F.lit("text")).isin(*PROSE))
-    source = rows.select(F.col(key).alias("k"), label_language(F.col(label)).alias("labelled"), F.col(text).alias("t"))
+    source = df.select(F.col(key).alias("k"), label_language(F.col(label)).alias("labelled"), F.col(text).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = Tables(net.value)
@@ -279,18 +306,16 @@ def detect(df: DataFrame, key: str = "result_id", text: str = "text", label: str
             for start in range(0, b.num_rows, 2000):
                 part = b.slice(start, 2000)
                 at, langs, conf = [], [], []
-                for i, found in enumerate(classify(part.column(2).to_pylist(), tables)):
-                    if found:
-                        for lang, c in languages(found).items():
-                            at.append(i)
-                            langs.append(lang)
-                            conf.append(c)
+                for i, found in enumerate(classify(part.column(2).to_pylist(), tables, every=True)):
+                    for lang, c in (languages(found) if found else {UNDETERMINED: 0.0}).items():
+                        at.append(i)
+                        langs.append(lang if c >= LEAST_CONFIDENCE else UNDETERMINED)
+                        conf.append(c)
                 idx = pa.array(at, pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column(0).take(idx), part.column(1).take(idx), pa.array(langs, pa.string()), pa.array(conf, pa.float64())], ["k", "labelled", "lang", "confidence"])
 
     types = f"k {df.schema[key].dataType.simpleString()}, labelled string, lang string, confidence double"
-    found = source.mapInArrow(run, types)
-    return found.withColumnRenamed("k", key)
+    return source.mapInArrow(run, types).withColumnRenamed("k", key)
 
 
 def mislabelled(df: DataFrame, key: str = "result_id", text: str = "text", label: str = "lang", kind: str | None = "class") -> DataFrame:
@@ -313,6 +338,8 @@ def mislabelled(df: DataFrame, key: str = "result_id", text: str = "text", label
                 for i, (found, named) in enumerate(zip(classify(part.column(2).to_pylist(), tables), part.column(1).to_pylist())):
                     if found:
                         here = languages(found)
+                        if len(here) == 1 and named and max(here.values()) < LEAST_CONFIDENCE:
+                            continue  # too little to speak against a label
                         if len(here) > 1 or named not in here:
                             at += [i] * len(here)
                             langs += here
@@ -322,18 +349,17 @@ def mislabelled(df: DataFrame, key: str = "result_id", text: str = "text", label
 
 
 def segments(df: DataFrame, key: str = "result_id", text: str = "text", label: str = "lang", kind: str | None = "class") -> DataFrame:
-    """(key, segment_no, lang, confidence, n_chars): runs of sentences in one language, in order."""
+    """(key, segment_no, lang, confidence, n_chars): the runs of sentences in one language of every text, in order."""
     net = _fitted(df, key, text, label, kind)
-    rows = df.where(F.length(text) >= 6)
-    if kind:
-        rows = rows.where(F.coalesce(F.col(kind), F.lit("text")).isin(*PROSE))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tables = Tables(net.value)
         for b in batches:
             out = []
-            for k, found in zip(b["k"], classify(b["t"].tolist(), tables)):
+            texts = [t if isinstance(t, str) else None for t in b["t"]]
+            for k, t, found in zip(b["k"], texts, classify(texts, tables, every=True)):
                 if not found:
+                    out.append((k, 0, UNDETERMINED, 0.0, len(t or "")))
                     continue
                 sure, runs = languages(found), []
                 for s, lang, c in found:
@@ -343,8 +369,10 @@ def segments(df: DataFrame, key: str = "result_id", text: str = "text", label: s
                         runs[-1][2] += len(s)
                     else:
                         runs.append([lang, [c], len(s)])
-                out += [(k, n, lang, float(np.mean(c)), size) for n, (lang, c, size) in enumerate(runs)]
+                for n, (lang, c, size) in enumerate(runs):
+                    c = float(np.mean(c))
+                    out.append((k, n, lang if c >= LEAST_CONFIDENCE else UNDETERMINED, c, size))
             yield pd.DataFrame(out, columns=["k", "segment_no", "lang", "confidence", "n_chars"])
 
     types = f"k {df.schema[key].dataType.simpleString()}, segment_no int, lang string, confidence double, n_chars int"
-    return rows.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(run, types).withColumnRenamed("k", key)
+    return df.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(run, types).withColumnRenamed("k", key)

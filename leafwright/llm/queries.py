@@ -64,12 +64,12 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The languages of every result that holds sentences, with a confidence and what the label names."""
+    """The languages of every result, with a confidence and what the label names."""
     return language.detect(table(spark, sf_dir, "results"))
 
 
 def p5_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The segments of every result that holds sentences, with language and confidence."""
+    """The segments of every result, with language and confidence."""
     return language.segments(table(spark, sf_dir, "results"))
 
 

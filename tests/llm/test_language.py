@@ -66,3 +66,30 @@ def test_mislabelled(spark, sf):
     seg = [(r.segment_no, r.lang) for r in L.segments(both).where("result_id = 4").orderBy("segment_no").collect()]
     assert seg == [(0, "en"), (1, "zh")]
     assert L.mislabelled(mine.limit(0)).count() == 0
+
+
+def test_every_text_has_a_language_or_none_can_be_told(data, net, spark):
+    tables = L.Tables(net)
+    best = lambda t: L.classify([t], tables, every=True)[0]
+    assert best("The old northern wall")[0][1] == "en" and best("一座木桥")[0][1] == "zh"
+    assert best("12.5 %") == [] and best("") == [] and best(None) == []
+    for other in ("Сьогодні вранці корабель вийшов із гавані, і його капітан не знав, що буде далі.", "Idag på morgonen lämnade båten hamnen och kaptenen visste inte vad som skulle hända."):
+        assert best(other)[0][2] < 0.6  # no language of the network
+    rows = [(1, "The old northern wall", None, "paragraph_title"), (2, "7", "en", "number"), (3, None, "en", "text"), (4, "", None, None), (5, "<fcel>Der alte Speicher<fcel>die Karte<nl>", None, "table")]
+    both = spark.createDataFrame(rows, "result_id long, text string, lang string, class string").unionByName(table(spark, "/root/testdata/sf0.01", "results").select((F.col("result_id") + 100).alias("result_id"), "text", "lang", "class"))
+    got = {r.result_id: (r.lang, r.confidence) for r in L.detect(both).where("result_id < 100").collect()}
+    assert {k: v[0] for k, v in got.items()} == {1: "en", 2: "und", 3: "und", 4: "und", 5: "de"} and got[3][1] == 0.0
+    assert {(r.result_id, r.segment_no, r.lang) for r in L.segments(both).where("result_id < 100").collect()} == {(k, 0, v[0]) for k, v in got.items()}
+
+
+def test_the_network_decides_between_scripts_too(data, net):
+    """Without the veto of the script, hardly a sentence comes out otherwise."""
+    texts = [t for t, _ in data[1::2]]
+    found = [x for f in L.classify(texts, L.Tables(net)) for x in f]
+    plain = L.Tables(net)
+    same = []
+    for s, lang, _ in found[:1500]:
+        w = L.windows(s.lower().encode())
+        same.append(L.LANGS[int(plain.logp(L._stack(w)).sum(0).argmax())] == lang)
+    assert np.mean(same) > 0.97
+    assert {lang for _, lang, _ in found} == set(L.LANGS)
