@@ -400,7 +400,7 @@ def test_values_at_a_spike_are_cut_whatever_their_last_line_looks_like(spark):
 
 @pytest.fixture(scope="module")
 def lines():
-    return scan.LineModels.fit([])
+    return scan.LineModels.fit([], [])
 
 
 @pytest.mark.parametrize(
@@ -426,6 +426,35 @@ def test_mend(lines, text, joins, dropped):
         assert out == text
 
 
+def test_line_models_on_held_out_pages(spark, sf):
+    """Fitted on half of the texts, running heads and page numbers, tried on pages made up of the other half."""
+    from leafwright.session import table
+
+    df = table(spark, "/root/testdata/sf0.01", "results")
+    half = lambda i: df.where(F.col("result_id") % 2 == i)
+    model = scan.fit_lines(half(0), "result_id", "text", "class")
+    body = sorted(r.text for r in half(1).where("class = 'text' and length(text) between 60 and 2000 and not contains(text, '\n') and text rlike '[.!?。！？]$'").select("text").collect())
+    heads = sorted(r.text for r in half(1).where(F.col("class").isin(*scan.FURNITURE) & (F.length("text") > 0) & ~F.contains("text", F.lit("\n"))).select("text").collect())
+    furniture, joins = [], []
+    for page in scan.made_up(body, heads, seed=99):
+        lines, width = [scan.Line(x) for x in page.lines], max(map(len, page.lines[:-1]), default=0)
+        furniture += [(model.furniture(scan._line_features(lines, i, width)) and not (lines[i].ended and not lines[i].page), page.furniture[i]) for i in range(len(lines) - 1)]
+        joins += [(model.join(scan._pair_features(lines[i], lines[j], gap, width)), together) for i, j, gap, together in page.joins]
+    for name, rated in (("furniture", furniture), ("joins", joins)):
+        both, said, true = sum(a and b for a, b in rated), sum(a for a, _ in rated), sum(b for _, b in rated)
+        least = 0.75 if name == "furniture" else 0.9  # a running head between lines of its own length is hard to tell
+        assert true > 200 and both / true > least and both / said > 0.9, (name, both / true, both / said)
+
+
+def test_wrapping_loses_nothing():
+    rng = random.Random(2)
+    for t in [*paragraphs(40), "第七课影响了外墙，一座木桥替换了早班渡船。" * 5]:
+        for w in (12, 30, 60):
+            lines = scan.wrap(t, w, rng)
+            back = "".join(x[:-1] if x[-1] in "-\u2010\u00ad\u00ac" and i + 1 < len(lines) else x + " " for i, x in enumerate(lines))
+            assert back.replace(" ", "") == t.replace(" ", "")
+
+
 def test_misread_words_are_found_through_frequent_ones(spark):
     texts = paragraphs(600, seed=8, langs=("en",))
     swaps = [("e", "c"), ("h", "li")]
