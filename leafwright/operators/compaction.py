@@ -158,7 +158,8 @@ class CompactStore:
     def compact(self, records: DataFrame, files: DataFrame) -> Snapshot:
         """Take in the records of the listed tiny files and rewrite the buckets that hold too many small ones.
 
-        ``records`` as from ``as_records``; ``files`` has ``file_id`` and ``written_at`` and may have ``size_bytes``. A
+        ``records`` as from ``as_records``, or with the ``written_at`` of their files, which are then not joined; ``files``
+        has ``file_id`` and ``written_at`` and may have ``size_bytes``. A
         bucket is a hash of the record key, so a page with very many records spreads over all of them; their
         number follows from the bytes stored and listed, and doubles when those outgrow it, which rewrites all. A
         bucket of the store whose small files, those appended before and the new ones, are at most ``small_files`` is
@@ -172,7 +173,7 @@ class CompactStore:
         while want >= 2 * n:
             n *= 2
         when = F.col("written_at").cast("timestamp_ntz")
-        dated = records.join(files.select("file_id", when.alias("written_at")), "file_id", "left")
+        dated = records if "written_at" in records.columns else records.join(files.select("file_id", when.alias("written_at")), "file_id", "left")
         part = F.pmod(F.xxhash64(*RECORD), F.lit(n)).cast("int").alias("part")
         placed = through_disk(dated.select(*[c for c in dated.columns if c != "part"], part), "arrivals")  # read twice, cleaned up once
         counts = placed.groupBy("kind", "part").agg(F.countDistinct(F.coalesce("file_id", F.lit(-1))).alias("n")).collect()  # n buckets of two kinds

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafwright.operators.compaction import CompactStore, as_records
-from leafwright.session import shared_dir, table
+from leafwright.session import shared_dir, table, through_disk
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,14 +16,13 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     that they reach are rewritten. The store is built when the query is defined.
     """
     store = CompactStore(spark, shared_dir(spark, "compact"))
+    files = table(spark, sf_dir, "small_files").withColumn("written_at", F.col("written_at").cast("timestamp_ntz"))
     records = as_records(table(spark, sf_dir, "manifest"), table(spark, sf_dir, "speed_loadonce"))
-    files = table(spark, sf_dir, "small_files")
-    at = F.unix_micros(F.col("written_at").cast("timestamp"))
-    first, last = files.agg(F.min(at), F.max(at)).first()
-    late = F.coalesce(at > (first + (last - first) * 0.9 if first is not None else 0), F.lit(False))
-    late_ids = files.where(late).select("file_id").distinct()
-    store.compact(records.join(late_ids, "file_id", "left_anti"), files.where(~late))
-    store.compact(records.join(late_ids, "file_id", "left_semi"), files.where(late))
+    records = through_disk(records.join(files.select("file_id", "written_at"), "file_id", "left"), "records")
+    first, last = files.agg(F.min("written_at"), F.max("written_at")).first()
+    late = F.coalesce(F.col("written_at") > F.lit(first + (last - first) * 0.9), F.lit(False)) if first is not None else F.lit(False)
+    for part in (~late, late):
+        store.compact(records.where(part), files.where(part))
     return store.read().select("kind", "stem", "item")
 
 
