@@ -117,37 +117,51 @@ RULES: dict[str, Callable[[str], float]] = {"run": run_share, "line": line_share
 
 
 def cascade_order(texts: list[str]) -> list[str]:
-    """The rules by estimated rejections per second on these texts, the most productive first."""
-    rated = []
-    for name, rule in RULES.items():
-        began = time.perf_counter()
-        rejected = sum(rule(t) > LIMIT for t in texts)
-        cost = max(time.perf_counter() - began, 1e-9)
-        rated.append(((rejected + 0.01) / cost, name))
-    return [name for _, name in sorted(rated, reverse=True)]
+    """The rules by rejections per second on these texts, each measured on what the rules before it leave."""
+    left, order, rules = texts, [], dict(RULES)
+    while rules:
+        rated = []
+        for name, rule in rules.items():
+            began = time.perf_counter()
+            hit = [rule(t) > LIMIT for t in left]
+            cost = max(time.perf_counter() - began, 1e-9)
+            rated.append(((sum(hit) + 0.01) / cost, name, hit))
+        _, best, hit = max(rated)
+        order.append(best)
+        rules.pop(best)
+        left = [t for t, h in zip(left, hit) if not h]
+    return order
 
 
 def _texts(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(df[key].alias("k"), df[text].alias("t")).where(F.length(F.trim("t")) > 0)
 
 
+def _sample(df: DataFrame) -> list[str]:
+    """About ``SAMPLE`` of the texts, picked by a hash of the key, so that no order of the rows favours any."""
+    share = min(1.0, SAMPLE / max(1, df.count()))
+    return [r[0] for r in df.where(F.pmod(F.xxhash64("k"), F.lit(1_000_000)) < int(share * 1_000_000)).select("t").collect()]
+
+
 def repetitive(df: DataFrame, key: str = "result_id", text: str = "text") -> DataFrame:
-    """(key, rule, share) of the texts that a rule rejects; one pass without a shuffle."""
+    """(key, rule, share) of the texts that a rule rejects, with the rule of the largest share; one pass without a shuffle.
+
+    The cascade stops at the first rule that rejects; only for the few rejected texts the others are measured too, so
+    that what is reported depends on the text alone. The sample is taken when this is called.
+    """
     source = _texts(df, key, text)
-    order = cascade_order([r[0] for r in source.select("t").limit(SAMPLE).collect()])
+    order = cascade_order(_sample(source))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rules = [(n, RULES[n]) for n in order]
+        rules = [RULES[n] for n in order]
         for b in batches:
             rows, names, shares = [], [], []
             for i, t in enumerate(b.column(1).to_pylist()):
-                for name, rule in rules:
-                    s = rule(t)
-                    if s > LIMIT:
-                        rows.append(i)
-                        names.append(name)
-                        shares.append(s)
-                        break
+                if any(rule(t) > LIMIT for rule in rules):
+                    share, name = max((rule(t), name) for name, rule in RULES.items())
+                    rows.append(i)
+                    names.append(name)
+                    shares.append(share)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(names, pa.string()), pa.array(shares, pa.float64())], ["k", "rule", "share"])
 
     kind = df.schema[key].dataType.simpleString()

@@ -213,14 +213,28 @@ def test_repetition(text, repeats):
 def test_cascade_order_does_not_change_the_result(spark, monkeypatch):
     rows = [(1, S1 * 5), (2, S1), (3, None), (4, ""), (5, "   "), (6, "a b c d " * 30_000), (2, S1)]
     df = spark.createDataFrame([(k, t, 0.0) for k, t in rows], "result_id long, text string, share double")
-    first = {r.result_id for r in repetition.repetitive(df).collect()}
-    monkeypatch.setattr(repetition, "cascade_order", lambda texts: list(reversed(repetition.RULES)))
-    assert first == {r.result_id for r in repetition.repetitive(df).collect()} == {1, 6}
+    first = {tuple(r) for r in repetition.repetitive(df).collect()}
+    for order in (list(reversed(repetition.RULES)), sorted(repetition.RULES)):
+        monkeypatch.setattr(repetition, "cascade_order", lambda texts, o=order: o)
+        assert first == {tuple(r) for r in repetition.repetitive(df).collect()}
+    assert {k for k, *_ in first} == {1, 6}
     shares = {r.result_id: r.repeated_share for r in repetition.shares(df).collect()}
     assert shares[3] == shares[4] == shares[5] == 0.0 and shares[1] > 0.5
     assert repetition.repetitive(df.limit(0)).count() == 0
 
 
+def test_cascade_measures_rules_on_what_is_left(monkeypatch):
+    import time
+
+    def slow(t):
+        time.sleep(0.002)
+        return 1.0 if "a" in t else 0.0
+
+    monkeypatch.setattr(repetition, "RULES", {"slow": slow, "quick": lambda t: 1.0 if "a" in t else 0.0, "other": lambda t: 1.0 if "b" in t else 0.0})
+    assert repetition.cascade_order(["a"] * 30 + ["b"] * 3 + ["c"] * 9) == ["quick", "other", "slow"]
+    assert sorted(repetition.cascade_order([])) == ["other", "quick", "slow"]
+
+
 # problem 1
 
 
