@@ -1,7 +1,7 @@
 """Problem 6: texts that were cut off.
 
 Per source, the histograms of text lengths in characters and in bytes are tested for a spike at the
-maximum: a length that very many values share while almost none are longer. Values at a spike length without
+maximum: a length that very many values share while almost none are longer; and, where a limit was raised, below it. Values at a spike length without
 an end mark, or the closing of their kind, are cut, whatever their last line looks like. A transfer that broke off leaves no spike; such values
 are found by their ending alone: prose within a sentence, a table within a row, a formula with something
 still open. Furniture of scanned pages and closing markup after the last sentence are looked past.
@@ -23,6 +23,10 @@ from leafwright.session import through_disk
 
 #: Layout classes whose texts are prose.
 PROSE = ("text", "abstract", "aside_text", "content", "footnote", "vision_footnote", "vertical_text")
+#: Layout classes whose texts close in their own way.
+CLOSED = ("table", "display_formula", "inline_formula")
+#: A length below the maximum is a limit that was given up if so much of what lies there is prose without an end mark.
+OPEN_SHARE = 0.8
 #: A spike holds this many values and this share of the source's at least, this many times the neighbours' mean, and at most this share lies above it.
 SPIKE_LEAST, SPIKE_SHARE, SPIKE_TIMES, ABOVE_SHARE, NEIGHBOURS = 4, 0.02, 8.0, 0.01, 40
 
@@ -99,10 +103,10 @@ def formula_cut(text: str) -> bool:
 
 
 def unclosed(kind: str | None, text: str) -> bool:
-    """True if a text at a length limit lacks the end mark or closing of its class."""
-    if kind is None or kind in PROSE:
+    """True if a text at a length limit lacks the end mark or closing of its class; a title or name of just that length was cut, a number was not."""
+    if kind is None or kind in PROSE or kind not in CLOSED:
         t = text.rstrip()
-        return bool(t) and not _ENDED.search(t) and not _CELLS.search(t) and not _ended_in_markup(t)
+        return bool(t) and any(map(str.isalpha, t)) and not _ENDED.search(t) and not _CELLS.search(t) and not _ended_in_markup(t)
     return is_cut(kind, text)
 
 
@@ -128,43 +132,58 @@ def is_cut(kind: str | None, text: str) -> bool:
     return False
 
 
-def length_spikes(df: DataFrame, text: str = "text", source: str = "source") -> DataFrame:
-    """(source, unit, at): lengths in ``char`` or ``byte`` at which a source's values were cut.
+def length_spikes(df: DataFrame, text: str = "text", source: str = "source", kind: str = "class") -> DataFrame:
+    """(source, unit, at): lengths in ``char`` or ``byte`` at which a source's values were cut; a source may have several.
 
-    A limit in bytes leaves up to three bytes free before a wide character, so four lengths count as one.
+    The spike at the maximum has almost nothing above it. A source that raised its limit has another one below, which
+    stands out from both sides and holds prose without an end mark. A limit in bytes leaves up to three bytes free
+    before a wide character, so four lengths count as one.
     """
-    lengths = df.where(F.length(text) > 0).select(F.col(source).alias("source"), F.char_length(text).alias("c"), F.octet_length(text).alias("b"))
-    hist = lengths.groupBy("source", "c", "b").agg(F.count(F.lit(1)).alias("n"))
-    both = hist.select("source", "n", F.explode(F.array(F.struct(F.lit("char").alias("unit"), F.col("c").alias("at")), F.struct(F.lit("byte").alias("unit"), F.col("b").alias("at")))).alias("u"))
-    flat = both.groupBy("source", "u.unit", "u.at").agg(F.sum("n").alias("n"))
+    prose = F.coalesce(F.col(kind), F.lit("text")).isin(*PROSE) if kind in df.columns else F.lit(True)
+    lengths = df.where(F.length(text) > 0).select(F.col(source).alias("source"), F.char_length(text).alias("c"), F.octet_length(text).alias("b"), (prose & ~F.col(text).rlike(_END)).cast("int").alias("open"))
+    hist = lengths.groupBy("source", "c", "b").agg(F.count(F.lit(1)).alias("n"), F.sum("open").alias("open"))
+    both = hist.select("source", "n", "open", F.explode(F.array(F.struct(F.lit("char").alias("unit"), F.col("c").alias("at")), F.struct(F.lit("byte").alias("unit"), F.col("b").alias("at")))).alias("u"))
+    flat = both.groupBy("source", "u.unit", "u.at").agg(F.sum("n").alias("n"), F.sum("open").alias("open"))
     w = Window.partitionBy("source", "unit").orderBy("at")
-    wide = F.when(F.col("unit") == "byte", F.sum("n").over(w.rangeBetween(-3, 0))).otherwise(F.col("n"))
+    wide = lambda c: F.when(F.col("unit") == "byte", F.sum(c).over(w.rangeBetween(-3, 0))).otherwise(F.col(c))
     span = F.when(F.col("unit") == "byte", F.lit(4)).otherwise(F.lit(1))
+    mean = lambda lo, hi: F.coalesce(F.sum("n").over(w.rangeBetween(lo, hi)), F.lit(0)) / F.lit(float(NEIGHBOURS)) * span
     rated = flat.select(
         "source",
         "unit",
         "at",
         "n",
-        wide.alias("here"),
-        (F.coalesce(F.sum("n").over(w.rangeBetween(-NEIGHBOURS - 4, -4)), F.lit(0)) / F.lit(float(NEIGHBOURS)) * span).alias("usual"),
+        wide("n").alias("here"),
+        wide("open").alias("open"),
+        mean(-NEIGHBOURS - 4, -4).alias("below"),
+        mean(1, NEIGHBOURS).alias("behind"),
         F.coalesce(F.sum("n").over(w.rangeBetween(1, Window.unboundedFollowing)), F.lit(0)).alias("above"),
         F.sum("n").over(Window.partitionBy("source", "unit")).alias("all"),
     )
-    spikes = rated.where((F.col("here") >= F.greatest(F.lit(SPIKE_LEAST), SPIKE_SHARE * F.col("all"))) & (F.col("here") >= SPIKE_TIMES * F.greatest(F.col("usual"), F.lit(0.25))) & (F.col("above") <= ABOVE_SHARE * F.col("all")))
-    last = Window.partitionBy("source", "unit").orderBy(F.desc("n"), F.desc("at"))
-    return spikes.withColumn("r", F.row_number().over(last)).where("r = 1").select("source", "unit", "at")
+    out = lambda usual: F.col("here") >= SPIKE_TIMES * F.greatest(F.col(usual), F.lit(0.25))
+    spikes = rated.where((F.col("here") >= F.greatest(F.lit(SPIKE_LEAST), SPIKE_SHARE * F.col("all"))) & out("below"))
+    top = F.col("above") <= ABOVE_SHARE * F.col("all")
+    last = Window.partitionBy("source", "unit", "top").orderBy(F.desc("n"), F.desc("at"))
+    marked = spikes.withColumn("top", top).withColumn("r", F.row_number().over(last))
+    given_up = out("behind") & (F.col("open") >= OPEN_SHARE * F.col("here")) & (F.col("n") * 2 > F.col("here"))
+    return marked.where((F.col("top") & (F.col("r") == 1)) | (~F.col("top") & given_up)).select("source", "unit", "at")
 
 
 def cut_rows(df: DataFrame, key: str = "result_id", text: str = "text", source: str = "source", kind: str = "class") -> DataFrame:
     """(key, source, at_limit) of the rows that were cut; ``at_limit`` tells those of the histogram from those of the ending."""
-    spikes = length_spikes(df, text, source)
-    limits = spikes.groupBy("source").agg(F.max(F.when(F.col("unit") == "char", F.col("at"))).alias("lim_c"), F.max(F.when(F.col("unit") == "byte", F.col("at"))).alias("lim_b"))
+    spikes = length_spikes(df, text, source, kind)
+    at = lambda unit: F.collect_set(F.when(F.col("unit") == unit, F.col("at")))
+    limits = spikes.groupBy("source").agg(at("char").alias("lim_c"), at("byte").alias("lim_b"))
     rows = df.where(F.length(text) > 0).select(F.col(key).alias("k"), F.col(source).alias("source"), F.col(kind).alias("cls"), F.col(text).alias("t"))
     # what ends as prose should is whole whatever its length; only the rest is looked at closely
-    unended = rows.where((F.coalesce("cls", F.lit("text")).isin(*PROSE) & ~F.col("t").rlike(_END)) | F.col("cls").isin("table", "display_formula", "inline_formula"))
-    placed = unended.join(limits, "source", "left")
-    b, lim = F.octet_length("t"), F.col("lim_b")
-    at_limit = F.coalesce((F.char_length("t") == F.col("lim_c")) | ((b <= lim) & (b > lim - 4) & ((b == lim) | (b > F.char_length("t")))), F.lit(False))
+    closed = F.coalesce("cls", F.lit("text")).isin(*CLOSED)
+    placed = rows.where(closed | ~F.col("t").rlike(_END)).join(limits, "source", "left")
+    b = F.octet_length("t")
+    in_bytes = F.exists("lim_b", lambda lim: (b <= lim) & (b > lim - 4) & ((b == lim) | (b > F.char_length("t"))))
+    at_limit = F.coalesce(F.array_contains("lim_c", F.char_length("t")) | in_bytes, F.lit(False))
+    told = placed.select("k", "source", "cls", "t", at_limit.alias("at_limit"))
+    # away from a limit, a title, name or number needs no end mark
+    told = told.where(closed | F.coalesce("cls", F.lit("text")).isin(*PROSE) | F.col("at_limit"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -173,7 +192,7 @@ def cut_rows(df: DataFrame, key: str = "result_id", text: str = "text", source:
             yield pa.RecordBatch.from_arrays([x.column(i).filter(mask) for i in (0, 1, 4)], ["k", "source", "at_limit"])
 
     types = f"k {df.schema[key].dataType.simpleString()}, source {df.schema[source].dataType.simpleString()}, at_limit boolean"
-    return placed.select("k", "source", "cls", "t", at_limit.alias("at_limit")).mapInArrow(run, types).withColumnRenamed("k", key)
+    return told.mapInArrow(run, types).withColumnRenamed("k", key)
 
 
 def by_source(df: DataFrame, key: str = "result_id", text: str = "text", source: str = "source", kind: str = "class") -> DataFrame:

@@ -412,6 +412,19 @@ def test_values_at_a_spike_are_cut_whatever_their_last_line_looks_like(spark):
     assert got == {**dict.fromkeys(range(40), True), 100: True, 101: True}
 
 
+def test_a_limit_that_was_raised_and_titles_at_a_limit(spark):
+    texts = paragraphs(400, seed=15)
+    rows = [(i, t[:90], "moved", "text") for i, t in enumerate(texts[:60])] + [(100 + i, t[:150], "moved", "text") for i, t in enumerate(texts[60:120])]
+    rows += [(200 + i, " ".join(t.split()[: 4 + i % 9]), "moved", "paragraph_title") for i, t in enumerate(texts[120:220])]
+    rows += [(400, texts[300][:150].replace(".", " "), "moved", "doc_title"), (401, "7" * 150, "moved", "number"), (402, "A title of a usual length", "moved", "doc_title")]
+    rows += [(500 + i, "The same old title", "fixed", "paragraph_title") for i in range(60)] + [(600 + i, t, "fixed", "text") for i, t in enumerate(texts[320:380])]
+    df = spark.createDataFrame(rows, "result_id long, text string, source string, class string")
+    assert {(r.source, r["at"]) for r in cutoff.length_spikes(df).where("unit = 'char'").collect()} == {("moved", 90), ("moved", 150)}
+    got = {r.result_id: r.at_limit for r in cutoff.cut_rows(df).collect()}
+    open_ = {k for k, t, *_ in rows if k < 200 and not t.rstrip().endswith(".")}
+    assert set(got) == open_ | {400} and all(got.values())
+
+
 @pytest.fixture(scope="module")
 def lines():
     return scan.LineModels.fit([], [])
