@@ -16,7 +16,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafwright.session import through_disk
@@ -132,6 +132,14 @@ def is_cut(kind: str | None, text: str) -> bool:
     return False
 
 
+def length_histogram(df: DataFrame, text: str = "text", source: str = "source", mark: Column | None = None) -> DataFrame:
+    """(source, unit, at, n, open): how many values of a source have each length, in ``char`` and in ``byte``, and how many of them are marked."""
+    lengths = df.where(F.length(text) > 0).select(F.col(source).alias("source"), F.char_length(text).alias("c"), F.octet_length(text).alias("b"), (F.lit(False) if mark is None else mark).cast("int").alias("open"))
+    hist = lengths.groupBy("source", "c", "b").agg(F.count(F.lit(1)).alias("n"), F.sum("open").alias("open"))
+    both = hist.select("source", "n", "open", F.explode(F.array(F.struct(F.lit("char").alias("unit"), F.col("c").alias("at")), F.struct(F.lit("byte").alias("unit"), F.col("b").alias("at")))).alias("u"))
+    return both.groupBy("source", "u.unit", "u.at").agg(F.sum("n").alias("n"), F.sum("open").alias("open"))
+
+
 def length_spikes(df: DataFrame, text: str = "text", source: str = "source", kind: str = "class") -> DataFrame:
     """(source, unit, at): lengths in ``char`` or ``byte`` at which a source's values were cut; a source may have several.
 
@@ -140,10 +148,7 @@ def length_spikes(df: DataFrame, text: str = "text", source: str = "source", kin
     before a wide character, so four lengths count as one.
     """
     prose = F.coalesce(F.col(kind), F.lit("text")).isin(*PROSE) if kind in df.columns else F.lit(True)
-    lengths = df.where(F.length(text) > 0).select(F.col(source).alias("source"), F.char_length(text).alias("c"), F.octet_length(text).alias("b"), (prose & ~F.col(text).rlike(_END)).cast("int").alias("open"))
-    hist = lengths.groupBy("source", "c", "b").agg(F.count(F.lit(1)).alias("n"), F.sum("open").alias("open"))
-    both = hist.select("source", "n", "open", F.explode(F.array(F.struct(F.lit("char").alias("unit"), F.col("c").alias("at")), F.struct(F.lit("byte").alias("unit"), F.col("b").alias("at")))).alias("u"))
-    flat = both.groupBy("source", "u.unit", "u.at").agg(F.sum("n").alias("n"), F.sum("open").alias("open"))
+    flat = length_histogram(df, text, source, prose & ~F.col(text).rlike(_END))
     w = Window.partitionBy("source", "unit").orderBy("at")
     wide = lambda c: F.when(F.col("unit") == "byte", F.sum(c).over(w.rangeBetween(-3, 0))).otherwise(F.col(c))
     span = F.when(F.col("unit") == "byte", F.lit(4)).otherwise(F.lit(1))

@@ -73,6 +73,16 @@ def p5_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.segments(table(spark, sf_dir, "results"))
 
 
+def p5_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language that the label of every result names, null for missing, filler and other labels."""
+    return table(spark, sf_dir, "results").select("result_id", language.label_language(F.col("lang")).alias("labelled"))
+
+
+def p6_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The histograms that are tested for spikes: how many results of a source have each length, in characters and in bytes."""
+    return cutoff.length_histogram(table(spark, sf_dir, "results")).select("source", "unit", "at", "n")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results whose text was cut."""
     return cutoff.cut_rows(table(spark, sf_dir, "results")).select("result_id").distinct()
@@ -88,6 +98,11 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(table(spark, sf_dir, "documents"))
 
 
+def p8_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    return tokens.decode(tokens.encode(table(spark, sf_dir, "documents")))
+
+
 def p9_placements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each document, or piece of one that exceeds the capacity, is placed for each container kind."""
     sizes = through_disk(tokens.sizes(table(spark, sf_dir, "documents")), "sizes")
@@ -99,6 +114,12 @@ def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill_report(p9_placements(spark, sf_dir), table(spark, sf_dir, "containers"))
 
 
+def p9_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per container kind, how many documents there are, how many have a place, and how many rows have none as they have no tokens."""
+    placed = p9_placements(spark, sf_dir)
+    return placed.groupBy("container_id").agg(F.countDistinct("doc_id").alias("n_documents"), F.countDistinct(F.when(F.col("bin_id").isNotNull(), F.col("doc_id"))).alias("n_placed"), F.count_if(F.col("bin_id").isNull()).alias("n_without"))
+
+
 def p9_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fullest containers of each kind by tokens, segments and loss-bearing tokens, and how many break a limit: none."""
     return packing.limit_report(p9_placements(spark, sf_dir), table(spark, sf_dir, "containers"))
@@ -127,13 +148,27 @@ QUERIES = {
     "p5_found": p5_found,
     "p5_languages": p5_languages,
     "p5_segments": p5_segments,
+    "p5_labels": p5_labels,
+    "p6_lengths": p6_lengths,
     "p6_found": p6_found,
     "p6_sources": p6_sources,
     "p8_ids": p8_ids,
+    "p8_texts": p8_texts,
     "p9_placements": p9_placements,
     "p9_fill": p9_fill,
     "p9_limits": p9_limits,
+    "p9_documents": p9_documents,
     "p10_found": p10_found,
     "p10_restored": p10_restored,
 }
-SQL: dict[str, str] = {}
+_LABEL = " ".join(f"when regexp_extract(lower(trim(lang)), '^([^-_ ]+)', 1) in ({', '.join(chr(39) + n + chr(39) for n in names)}) then '{code}'" for code, names in language.LABELS.items())
+#: What SQL can say of these operators; the others are tested against brute force, planted cases and round trips.
+SQL: dict[str, str] = {
+    "p5_labels": f"select result_id, case {_LABEL} end as labelled from results",
+    "p6_lengths": """with t as (select source, text from results where length(text) > 0)
+        select source, 'char' as unit, cast(length(text) as int) as at, count(*) as n from t group by 1, 2, 3
+        union all select source, 'byte', cast(strlen(text) as int), count(*) from t group by 1, 2, 3""",
+    "p8_texts": "select doc_id, coalesce(text, '') as text from documents",
+    "p9_documents": """select container_id, count(distinct doc_id) as n_documents, count(distinct doc_id) filter (coalesce(text, '') <> '') as n_placed, count(*) filter (coalesce(text, '') = '') as n_without
+        from containers, documents where capacity_tokens > 0 group by 1""",
+}

@@ -294,6 +294,20 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | N
     return source.mapInArrow(run, f"k {kind}, ids array<int>").withColumnRenamed("k", key)
 
 
+def decode(df: DataFrame, key: str = "doc_id", ids: str = "ids", path: str | None = None) -> DataFrame:
+    """(key, text) of lists of ids; null lists give null, bytes that are no text the replacement character."""
+    vocabulary = _sent(df.sparkSession, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = parse(vocabulary.value).words
+        for b in batches:
+            texts = [None if x is None else b"".join([words[i] for i in x]).decode("utf-8", "replace") for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["k", "text"])
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(df[key].alias("k"), df[ids].alias("ids")).mapInArrow(run, f"k {kind}, text string").withColumnRenamed("k", key)
+
+
 def sizes(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """(key, n_tokens, n_loss): the length in tokens and how many of them bear loss (all but heading lines)."""
     vocabulary = _sent(df.sparkSession, path)
