@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -26,8 +27,10 @@ def looping_tail(s: str, least: int = PHRASE, copies: int = COPIES) -> tuple[str
     """The text before the loop at the end of ``s``, and the loop's length; the longest unit that loops counts."""
     n = len(s)
     for unit in range(n // copies, least - 1, -1):
+        if s[n - unit - 1] != s[-1]:  # most units fail here, without a copy
+            continue
         tail = s[n - unit :]
-        if not s.endswith(tail * 2):
+        if not s.endswith(tail, 0, n - unit):
             continue
         k = 2
         while s.endswith(tail, 0, n - k * unit):
@@ -79,27 +82,27 @@ def truncate_lines(text: str | None, least: int) -> str | None:
     return "\n".join(out)
 
 
-def guard(text: Column, least: Column) -> Column:
-    """Both repairs, one after the other, over Arrow batches; texts below the floor do not need Python but cost little there."""
+def _over_long_ones(repair: Callable[[str, int], str | None], text: Column, least: Column) -> Column:
+    """A repair over Arrow batches of the texts that reach the floor; the others stay in the JVM."""
 
     def run(t: pd.Series, n: pd.Series) -> pd.Series:
-        return pd.Series([truncate_lines(truncate_content(a, int(b)), int(b)) if isinstance(a, str) else None for a, b in zip(t, n)])
+        return pd.Series([repair(a, int(b)) if isinstance(a, str) else None for a, b in zip(t, n)], dtype=object)
 
-    return F.pandas_udf(run, "string")(text, least)
+    long = F.when(F.length(text) >= least, text)
+    return F.coalesce(F.pandas_udf(run, "string")(long, least), text)
 
 
-def content_guard(text: Column, least: Column) -> Column:
-    def run(t: pd.Series, n: pd.Series) -> pd.Series:
-        return pd.Series([truncate_content(a, int(b)) if isinstance(a, str) else None for a, b in zip(t, n)])
+def guard(text: Column, least: Column) -> Column:
+    """Both repairs, one after the other."""
+    return _over_long_ones(lambda a, n: truncate_lines(truncate_content(a, n), n), text, least)
 
-    return F.pandas_udf(run, "string")(text, least)
 
+def content_guard(text: Column, least: Column) -> Column:
+    return _over_long_ones(truncate_content, text, least)
 
-def line_guard(text: Column, least: Column) -> Column:
-    def run(t: pd.Series, n: pd.Series) -> pd.Series:
-        return pd.Series([truncate_lines(a, int(b)) if isinstance(a, str) else None for a, b in zip(t, n)])
 
-    return F.pandas_udf(run, "string")(text, least)
+def line_guard(text: Column, least: Column) -> Column:
+    return _over_long_ones(truncate_lines, text, least)
 
 
 def guarded(df: DataFrame, text: str = "text", kind: str = "class") -> DataFrame:

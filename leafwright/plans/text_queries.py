@@ -8,6 +8,7 @@ from leafwright import constants as C
 from leafwright.operators import assemble as A
 from leafwright.operators import tables as O
 from leafwright.operators import textguard as G
+from leafwright.operators.tablescore import table_similarity
 from leafwright.plans import views as V
 from leafwright.session import table
 
@@ -86,6 +87,14 @@ def otsl_html(spark, sf_dir):
     return table(spark, sf_dir, "results").where("class = 'table' and text is not null").select("result_id", O.to_html(F.col("text")).alias("html"))
 
 
+@query("table_scores")
+def table_scores(spark, sf_dir):
+    """Every table against the same without its first row end: similarity by tree edit distance."""
+    t = table(spark, sf_dir, "results").where("class = 'table' and text is not null")
+    cut = F.regexp_replace("text", "^(.*?)<nl>", "$1")
+    return t.select("result_id", F.round(table_similarity(O.to_html(F.col("text")), O.to_html(cut)), 6).alias("similarity"))
+
+
 @query(
     "otsl_plain_html",
     f"""with t as (select result_id, text {_T} and regexp_matches(text, '^(<fcel>[^<]+(<fcel>[^<]+)*<nl>)+$')),

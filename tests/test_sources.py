@@ -253,3 +253,17 @@ def test_no_folder_of_one_machine_on_a_cluster():
     conf = SimpleNamespace(get=lambda name, default: default)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(SimpleNamespace(sparkContext=sc, conf=conf), "x")
+
+
+def test_headers_of_model_files(spark, tmp_path):
+    import struct
+
+    def text(x):
+        return struct.pack("<Q", len(x)) + x.encode()
+
+    pairs = [text("arch") + struct.pack("<I", 8) + text("tiny"), text("layers") + struct.pack("<II", 4, 7), text("words") + struct.pack("<IIQ", 9, 8, 2) + text("a") + text("bc"), text("scale") + struct.pack("<If", 6, 0.5), text("nested") + struct.pack("<IIQ", 9, 9, 1) + struct.pack("<IQ", 5, 0)]
+    (tmp_path / "m.bin").write_bytes(b"GGUF" + struct.pack("<IQQ", 3, 0, len(pairs)) + b"".join(pairs) + b"\0" * 1000)
+    (tmp_path / "x.bin").write_bytes(b"other")
+    got = R.read_headers(spark, str(tmp_path / "*.bin")).collect()
+    assert {r.name: r.value for r in got if r.error is None} == {"arch": "tiny", "layers": "7", "words": "[2]", "scale": "0.5", "nested": "[1]"}
+    assert [r.path[-5:] for r in got if r.error] == ["x.bin"]
