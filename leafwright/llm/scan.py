@@ -403,14 +403,18 @@ def _is_han(w: str = "w"):
     return F.col(w).rlike(f"^[{_HAN}]{{3}}$")
 
 
-def _met(counts: DataFrame, frequent: DataFrame, keys, ratio: float) -> DataFrame:
+def _met(counts: DataFrame, frequent: DataFrame, keys, ratio: float, apart: bool = True) -> DataFrame:
     """(bad, good, nb, ng) that share a key, the first rare in proportion to the second.
 
+    The length is part of the key, so that words which many others share an end with meet only those of their own
+    length, or with ``apart`` of one character more or less.
+
     A misreading that befalls a very common word may itself be frequent, so the ratio alone tells.
     """
-    a = counts.select(F.col("w").alias("bad"), F.col("n").alias("nb"), F.explode(keys).alias("key"))
-    b = frequent.select(F.col("w").alias("good"), F.col("n").alias("ng"), F.explode(keys).alias("key"))
-    met = a.join(F.broadcast(b), "key").where((F.col("bad") != F.col("good")) & (F.abs(F.length("bad") - F.length("good")) <= 1) & (F.col("nb") <= F.greatest(F.lit(1.0), ratio * F.col("ng"))))
+    size = F.length("w")
+    a = counts.select(F.col("w").alias("bad"), F.col("n").alias("nb"), F.explode(keys).alias("key"), F.explode(F.array(size - 1, size, size + 1)).alias("size")) if apart else counts.select(F.col("w").alias("bad"), F.col("n").alias("nb"), F.explode(keys).alias("key"), size.alias("size"))
+    b = frequent.select(F.col("w").alias("good"), F.col("n").alias("ng"), F.explode(keys).alias("key"), size.alias("size"))
+    met = a.join(F.broadcast(b), ["key", "size"]).where((F.col("bad") != F.col("good")) & (F.col("nb") <= F.greatest(F.lit(1.0), ratio * F.col("ng"))))
     return met.groupBy("bad", "good").agg(F.max("nb").alias("nb"), F.max("ng").alias("ng"))
 
 
@@ -438,7 +442,7 @@ def candidates(counts: DataFrame, frequent: DataFrame) -> DataFrame:
     by_hole = _met(counts.where(short), frequent.where(short), _holes(2 * GRAM), RARE_RATIO).withColumn("ends", F.lit(False))
     met = by_ends.unionByName(by_hole).groupBy("bad", "good").agg(*[F.max(c).alias(c) for c in ("nb", "ng", "ends")])
     met = met.where(plain(F.lower("bad")) != plain(F.lower("good")))
-    met = met.unionByName(_met(counts.where(_is_han()), frequent.where(_is_han()), outer, RARE_RATIO_HAN).withColumn("ends", F.lit(True)))
+    met = met.unionByName(_met(counts.where(_is_han()), frequent.where(_is_han()), outer, RARE_RATIO_HAN, False).withColumn("ends", F.lit(True)))
     near = met.withColumn("distance", F.levenshtein("bad", "good", 2)).where("distance between 1 and 2")
     return near.withColumn("swap", _swap("bad", "good")).where(~F.col("swap").rlike("^>|>$"))
 
@@ -447,7 +451,7 @@ def edge_windows(counts: DataFrame, frequent: DataFrame, wrong: DataFrame) -> Da
     """(w): Han windows with a misread character at their edge, by the swaps found in the middle of others."""
     keys = F.array(F.concat(F.lit("f"), F.substring("w", 1, 2)), F.concat(F.lit("l"), F.substring("w", 2, 2)))
     swaps = wrong.where(_is_han("good")).select(_swap("bad", "good").alias("swap")).distinct()
-    met = _met(counts.where(_is_han()), frequent.where(_is_han()), keys, RARE_RATIO_HAN).withColumn("swap", _swap("bad", "good"))
+    met = _met(counts.where(_is_han()), frequent.where(_is_han()), keys, RARE_RATIO_HAN, False).withColumn("swap", _swap("bad", "good"))
     return met.join(swaps, "swap", "left_semi").select(F.col("bad").alias("w")).distinct()
 
 
