@@ -45,7 +45,7 @@ MANY_BYTES = ("utf-8", "gb18030")
 LEAST_MARGIN = 4.0
 #: What a chain must gain before it counts, in nats: for a step between code pages of one byte, where decoding proves
 #: nothing, for a second step, and for a chunk of one character, which stands in no context.
-ONE_BYTE_COST, SECOND_COST, ALONE_COST = 1.0, 2.0, 4.0
+ONE_BYTE_COST, SECOND_COST, ALONE_COST = 1.0, 2.0, 2.0
 #: Once a chain is accepted in a record, its other chunks need this gain only.
 FOLLOWING_GAIN = 0.7
 #: A record that gains so many times that is taken for garbled when the model is trained.
