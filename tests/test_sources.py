@@ -57,10 +57,11 @@ def test_images_and_crops(spark, tmp_path):
     assert (P.from_spark(bytes(row.data), row.height, row.width, row.nChannels) == a).all()
     images = R.read_images(spark, str(tmp_path / "x.jpg")).selectExpr("'p' page_id", "data", "height", "width", "nChannels")
     broken = spark.createDataFrame([("q", bytearray(b"xx"), 5, 5, 3)], images.schema)
-    tasks = spark.createDataFrame([("p", 0, "text", "crop_000_text.png", 1.0, 1.0, 4.0, 5.0), ("q", 0, "text", "c", 0.0, 0.0, 1.0, 1.0)], "page_id string, ordinal int, class string, crop string, x0 double, y0 double, x1 double, y1 double")
+    tasks = spark.createDataFrame([("p", 0, "text", "crop_000_text.png", 1.0, 1.0, 4.0, 5.0), ("q", 0, "text", "c", 0.0, 0.0, 1.0, 1.0), ("r", 3, "text", "d", 0.0, 0.0, 1.0, 1.0)], "page_id string, ordinal int, class string, crop string, x0 double, y0 double, x1 double, y1 double")
     got = {r.page_id: r for r in P.cut_crops(tasks, images.union(broken)).collect()}
     assert got["p"].png[:4] == b"\x89PNG" and got["p"].error is None
     assert got["q"].png is None and got["q"].error
+    assert got["r"].png is None and got["r"].ordinal == 3 and "no image" in got["r"].error  # no region is lost with its image
 
 
 def test_ink():
