@@ -242,6 +242,20 @@ def flat_table(slots: np.ndarray, n: np.ndarray) -> np.ndarray:
     return flat
 
 
+def _packed(flat: np.ndarray) -> np.ndarray | tuple[np.ndarray, np.ndarray]:
+    """What to send to the tasks: the array, or its places and values if these are smaller."""
+    at = np.flatnonzero(flat)
+    return (at.astype(np.uint32), flat[at]) if 2 * len(at) < SLOTS else flat
+
+
+def _unpacked(sent: np.ndarray | tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    if isinstance(sent, np.ndarray):
+        return sent
+    flat = np.zeros(SLOTS, np.float32)
+    flat[sent[0]] = sent[1]
+    return flat
+
+
 @dataclass
 class Chunked:
     """Texts cut at blanks: where each chunk with a character beyond ASCII begins and ends, its text, its log likelihood."""
@@ -396,7 +410,7 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Ngram
     counts = count_ngrams(df, text).where(f"n > 1 or slot >= {_AT[4]}").toPandas()  # what occurs once speaks for nothing; bounded by SLOTS
     slots, n = counts["slot"].to_numpy(np.int64), counts["n"].to_numpy(np.float64)
     first = flat_table(slots, n)
-    shared = df.sparkSession.sparkContext.broadcast(first)  # 4 bytes a slot at any size of the corpus
+    shared = df.sparkSession.sparkContext.broadcast(_packed(first))  # at most 4 bytes a slot at any size of the corpus
     rated = through_disk(rate_chunks(df, shared, key, text), "rated")
     hist: dict[str, list[tuple[int, int]]] = {k: [] for k in ("own", "gain", "garbled")}
     for r in rated.where("kind <> 'suspect'").groupBy("kind", "bin").agg(F.sum("n").alias("n")).collect():  # bounded by bins and slots
@@ -433,7 +447,7 @@ def rate_chunks(df: DataFrame, shared, key: str = "doc_id", text: str = "text")
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = NgramModel(shared.value)
+        model = NgramModel(_unpacked(shared.value))
         hist: Counter[tuple[str, int]] = Counter()
         garbled = Counts()
         kind = None
@@ -602,10 +616,11 @@ def _follow(text: str, accepted: list[tuple], model: NgramModel) -> list[tuple[i
 
 def repair(df: DataFrame, model: NgramModel, key: str = "doc_id", text: str = "text", whole: bool = True) -> DataFrame:
     """(key, fixed, chains, affected) of every record; ``whole`` as in ``repair_texts``."""
-    shared = df.sparkSession.sparkContext.broadcast((model.flat, model.margin, model.floor))  # 4 bytes a slot at any size
+    shared = df.sparkSession.sparkContext.broadcast((_packed(model.flat), model.margin, model.floor))  # at most 4 bytes a slot at any size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = NgramModel(*shared.value)
+        sent, margin, floor = shared.value
+        m = NgramModel(_unpacked(sent), margin, floor)
         for b, texts in _groups(batches, 1):
             got = repair_texts(texts, m, whole)
             chains = [sorted(u) for _, u in got]
