@@ -81,12 +81,14 @@ def pack(sizes: DataFrame, containers: DataFrame, key: str = "doc_id", block_ite
     spots = _limits(containers, loss_share)
     each = F.explode(F.array(*[F.struct(F.lit(i).alias("container_id"), F.lit(c).alias("cap"), F.lit(g).alias("segments"), F.lit(x).alias("most")) for i, c, g, x in spots])) if spots else F.explode(F.expr("cast(array() as array<struct<container_id int, cap int, segments int, most int>>)"))
     n_blocks = max(1, -(-items.count() // block_items))
+    # products are taken in 64 bits: 262,144 tokens times a capacity of 8192 are more than 32 hold
+    loss, most = F.col("loss").cast("long"), F.col("most").cast("long")
     # tokens of a full piece: the capacity, or as many as bear no more loss than is allowed
-    step = F.when(F.col("loss") * F.col("cap") > F.col("most") * F.col("n"), F.greatest(F.lit(1), F.floor(F.col("most") * F.col("n") / F.col("loss")).cast("int"))).otherwise(F.col("cap"))
+    step = F.when(loss * F.col("cap") > most * F.col("n"), F.greatest(F.lit(1), F.floor(most * F.col("n") / loss).cast("int"))).otherwise(F.col("cap"))
     both = items.withColumn("c", each).select("*", "c.*").drop("c").withColumn("step", F.least("cap", step))
     both = both.withColumn("full", F.when((F.col("n") > F.col("cap")) | (F.col("loss") > F.col("most")), F.floor(F.col("n") / F.col("step")).cast("int")).otherwise(F.lit(0)))
     kind = sizes.schema[key].dataType.simpleString()
-    share = lambda n: F.least(F.col("most"), F.ceil(n * F.col("loss") / F.col("n")).cast("int"))
+    share = lambda n: F.least(F.col("most"), F.ceil(n * loss / F.col("n")).cast("int"))
     # rows of one key are items of their own: their number keeps the containers of their full pieces apart
     same = Window.partitionBy("container_id", "k").orderBy("n", "loss")
     whole = (

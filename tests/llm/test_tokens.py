@@ -125,6 +125,18 @@ def test_limits_on_segments_and_loss_bind(spark):
     assert placed.select("bin_id").distinct().count() == 2
 
 
+def test_documents_of_very_many_tokens_are_split(spark):
+    rows = [(1, 300_000, 300_000), (2, 5_000_000, 4_999_999), (3, 262_144, 1), (4, 10, 9)]  # times a limit, more than 32 bits hold
+    sizes = spark.createDataFrame(rows, "doc_id long, n_tokens int, n_loss int")
+    boxes = spark.createDataFrame([(1, 512, None), (2, 8192, None), (3, 8192, 5000)], "container_id int, capacity_tokens int, max_loss int")
+    placed = packing.pack(sizes, boxes)
+    got = {(r.container_id, r.doc_id): (r.n, r.loss) for r in placed.groupBy("container_id", "doc_id").agg(F.sum("n_tokens").alias("n"), F.sum("n_loss").alias("loss")).collect()}
+    assert {k: n for k, (n, _) in got.items()} == {(c, i): n for c in (1, 2, 3) for i, n, _ in rows}
+    assert all(got[c, i][1] >= loss for c in (1, 2, 3) for i, _, loss in rows)
+    assert {r.container_id: r.n_over for r in packing.limit_report(placed, boxes).collect()} == {1: 0, 2: 0, 3: 0}
+    assert {f.name: f.dataType.simpleString() for f in placed.schema}["n_tokens"] == "int"
+
+
 def test_packing_of_nothing(spark):
     placed, boxes = place_all(spark, [], [(1, 100)])
     assert placed.count() == 0 and packing.fill_report(placed, boxes).count() == 0
