@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -81,6 +82,54 @@ def edit_distance_share(a: Column, b: Column) -> Column:
     return F.try_divide(edit_distance(a, b), F.greatest(F.length(a), F.length(b)))
 
 
+#: Marks are taken of runs of the first number of characters, the least in every second number of neighbouring runs; by kind of text.
+SHORT_RUNS, LONG_RUNS = (5, 4), (16, 32)
+LEAST_MARKED, LEAST_LONG = sum(SHORT_RUNS) - 1, sum(LONG_RUNS) - 1
+
+
+def _span(v: np.ndarray, n: int, both) -> np.ndarray:
+    """``both(left, right)`` over every ``n`` neighbours, by doubling."""
+    out, done, have, reach = None, 0, v, 1
+    while True:
+        if n & reach:
+            out = have if out is None else both(out[: len(v) - done - reach + 1], have[done : len(v) - reach + 1], reach)
+            done += reach
+        if done == n:
+            return out
+        have = both(have[: len(v) - 2 * reach + 1], have[reach:], reach)
+        reach *= 2
+
+
+def marks(text: str, runs: tuple[int, int]) -> np.ndarray:
+    """Distinct 64-bit marks of a text: the least hash of its runs of characters in each window of neighbouring runs.
+
+    A text within another has no mark that the other lacks, whatever the hashes are: its windows are windows of the other.
+    A text shorter than a window has none.
+    """
+    size, window = runs
+    if len(text) < size + window - 1:
+        return np.empty(0, np.int64)
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h = _span(c ^ (c >> np.uint64(29)), size, lambda a, b, reach: a * np.uint64((0xBF58476D1CE4E5B9 * (2 * reach + 1)) % 2**64) + b)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    low = _span(h ^ (h >> np.uint64(29)), window, lambda a, b, reach: np.minimum(a, b))
+    return np.unique(low[np.append(True, low[1:] != low[:-1])]).view(np.int64)
+
+
+def mark_sets(c: Column, whole: bool) -> Column:
+    """``marks`` as an array. A text to be looked for has those of its kind, by length; the ``whole`` that is searched has both kinds."""
+
+    def one(t: str) -> np.ndarray:
+        if whole:
+            return np.union1d(marks(t, SHORT_RUNS), marks(t, LONG_RUNS))
+        return marks(t, LONG_RUNS if len(t) >= LEAST_LONG else SHORT_RUNS)
+
+    def run(x: pd.Series) -> pd.Series:
+        return pd.Series([one(t) if isinstance(t, str) else None for t in x], dtype=object)
+
+    return F.pandas_udf(run, "array<bigint>")(c)
+
+
 def register(spark: SparkSession) -> None:
     """Make ``otsl_to_html``, ``truncate_repetitive`` and ``truncate_lines`` callable from SQL."""
 

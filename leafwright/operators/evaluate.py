@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType
 
 from leafwright import constants as C
+from leafwright.functions.scalars import LEAST_MARKED, mark_sets
 from leafwright.operators.sampling import numbered
+from leafwright.session import through_disk
 
 #: The bars between causes, and their names.
 SHORT, LONG, SAME_BOX, COVER_OK, EMPTY_IOU = 0.9, 1.1, 0.7, 0.7, 0.5
@@ -20,6 +22,9 @@ INSIDE, SWALLOW, SWALLOW_AREA = 0.5, 0.8, 1.5
 LAYOUT_CAUSES = ("LAYOUT_MISS", "LAYOUT_SPLIT", "LAYOUT_MERGE", "LAYOUT_PARTIAL")
 RECOGNITION_CAUSES = ("RECOG_EMPTY", "RECOG_SHORT", "RECOG_LONG", "RECOG_SUBST")
 
+#: A page is heavy beyond so many samples; its chunks have so many characters at least, and its blocks so many places.
+HEAVY, CHUNK, BLOCK = 128, 1 << 17, 512
+
 
 def share(edit: Column, upper: Column) -> Column:
     return F.coalesce(F.try_divide(edit.cast("double"), upper.cast("double")), F.lit(0.0))
@@ -170,10 +175,79 @@ def top_per_group(counts: DataFrame, group: str, item: str, n: str, k: int = 3)
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def recoverable(samples: DataFrame, pages: DataFrame, least: int = 8) -> DataFrame:
-    """Samples with ``found``: their text stands literally somewhere in the page's whole prediction."""
-    s = samples.where((F.col("edit_num") > 0) & (F.length("norm_gt") >= least))
-    return s.join(pages, "img_id").withColumn("found", F.contains("page_text", "norm_gt"))
+def recoverable(samples: DataFrame, order: str, least: int = 8, gap: str = " ", heavy: int = HEAVY) -> DataFrame:
+    """Samples with ``found``: their text stands literally somewhere in the page's whole prediction.
+
+    The prediction is that of the page's samples along ``order``, joined by ``gap``. In pages of up to ``heavy``
+    samples it is searched for text by text; the others go as ``_found_in_chunks`` says. Every column of the samples
+    is kept and worked out once: an edit distance that is filtered where it is made would be taken twice.
+    """
+    if least < LEAST_MARKED:
+        raise ValueError(f"texts of fewer than {LEAST_MARKED} characters have no marks")
+    wanted = (F.col("edit_num") > 0) & (F.length("norm_gt") >= least)
+    samples = samples.where("img_id is not null")
+    pages = through_disk(samples.groupBy("img_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > heavy).select("img_id"), "heavy-pages")
+    some = not pages.isEmpty()
+    light = samples.join(pages, "img_id", "left_anti") if some else samples
+    rest = [c for c in samples.columns if c not in (order, "norm_pred", "img_id")]
+    light = light.groupBy("img_id").agg(F.array_sort(F.collect_list(F.struct(F.col(order), "norm_pred", *rest))).alias("_s"))
+    preds = F.array_compact(F.transform("_s", lambda x: x["norm_pred"]))
+    out = light.withColumn("_page", F.array_join(preds, gap)).select("img_id", F.explode(F.transform("_s", lambda x: F.struct(x.alias("s"), F.contains("_page", x["norm_gt"]).alias("found")))).alias("x"))
+    out = out.select("img_id", "x.s.*", "x.found").where(wanted)
+    if some:
+        own = through_disk(samples.join(pages, "img_id", "left_semi"), "heavy-rows")
+        found = _found_in_chunks(own, order, least, gap).withColumn("found", F.lit(True))
+        met = own.where(wanted).withColumn("_id", _id()).join(found, ["img_id", "_id"], "left").drop("_id")
+        out = out.unionByName(met.withColumn("found", F.coalesce("found", F.lit(False))))
+    return out.select(*samples.columns, "found")
+
+
+def _id() -> Column:
+    return F.sha2("norm_gt", 256)
+
+
+def _found_in_chunks(own: DataFrame, order: str, least: int, gap: str) -> DataFrame:
+    """(img_id, _id): the texts that stand in the prediction of pages where a search text by text would take the square of the size.
+
+    The prediction is cut into chunks that overlap by the page's longest text, so that a text that is found lies
+    within one. Text and chunk are described by their marks (``marks``), and a chunk has all marks of what lies in
+    it. So a text with a mark that no chunk has is not there, and any other is searched for only in the chunks with
+    its rarest mark: in the first of these, and in the rest if that was not it.
+    """
+    texts = own.where(F.length("norm_gt") >= least).select("img_id", "norm_gt").distinct().withColumn("_id", _id())
+    pages = own.groupBy("img_id").agg(F.max(F.coalesce(F.length("norm_gt"), F.lit(0))).alias("_longest"))
+    parts = own.where("norm_pred is not null").select("img_id", F.floor(F.col(order) / BLOCK).alias("_b"), order, F.concat(F.lit(gap), "norm_pred").alias("t"))
+    # where each part begins: sums of blocks, then sums within blocks, so that no task has all parts of a page
+    sums = parts.groupBy("img_id", "_b").agg(F.sum(F.length("t")).alias("_sum"))
+    before = sums.select("img_id", "_b", (F.sum("_sum").over(Window.partitionBy("img_id").orderBy("_b")) - F.col("_sum")).alias("_before"))
+    within = Window.partitionBy("img_id", "_b").orderBy(order, "t").rowsBetween(Window.unboundedPreceding, 0)
+    placed = parts.withColumn("_end", F.sum(F.length("t")).over(within)).join(before, ["img_id", "_b"])
+    placed = placed.select("img_id", "t", (F.col("_before") + F.col("_end") - F.length("t")).alias("_at"))
+    placed = placed.withColumn("t", F.when(F.col("_at") == 0, F.substr("t", F.lit(len(gap) + 1))).otherwise(F.col("t"))).withColumn("_at", F.when(F.col("_at") == 0, F.lit(len(gap))).otherwise(F.col("_at")))
+    placed = placed.join(pages.select("img_id", F.greatest(F.lit(CHUNK), "_longest").alias("_step"), "_longest"), "img_id").where("t <> ''")
+    first = F.greatest(F.lit(0), F.floor((F.col("_at") - F.col("_longest")) / F.col("_step")))
+    last = F.floor((F.col("_at") + F.length("t") - 1) / F.col("_step"))
+    cut = placed.withColumn("_chunk", F.explode(F.sequence(first, last))).withColumn("_from", F.col("_chunk") * F.col("_step"))
+    skip = F.greatest(F.lit(0), F.col("_from") - F.col("_at"))
+    size = F.least(F.length("t"), F.col("_from") + F.col("_step") + F.col("_longest") - F.col("_at")) - skip
+    cut = cut.where(size > 0).select("img_id", "_chunk", F.struct("_at", F.substr("t", (skip + 1).cast("int"), size.cast("int")).alias("t")).alias("x"))
+    chunks = cut.groupBy("img_id", "_chunk").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["t"]), "").alias("t"))
+    chunks = through_disk(chunks.withColumn("m", mark_sets(F.col("t"), True)), "heavy-chunks")
+
+    held = chunks.select("img_id", "_chunk", F.explode("m").alias("m"))
+    often = held.groupBy("img_id", "m").agg(F.count(F.lit(1)).alias("n"))
+    asked = texts.select("img_id", "_id", F.explode(mark_sets(F.col("norm_gt"), False)).alias("m")).join(often, ["img_id", "m"], "left")
+    rarest = asked.groupBy("img_id", "_id").agg(F.min_by("m", "n").alias("m"), F.count_if(F.col("n").isNull()).alias("_none")).where("_none = 0")
+    at = through_disk(rarest.join(held, ["img_id", "m"]).select("img_id", "_id", "_chunk"), "heavy-places")
+
+    def there(places: DataFrame) -> DataFrame:
+        asked = places.join(texts, ["img_id", "_id"]).join(chunks.select("img_id", "_chunk", "t"), ["img_id", "_chunk"])
+        return asked.where(F.contains("t", "norm_gt")).select("img_id", "_id").distinct()
+
+    firsts = at.groupBy("img_id", "_id").agg(F.min("_chunk").alias("_chunk"))
+    sure = through_disk(there(firsts), "heavy-found")
+    rest = at.join(firsts, ["img_id", "_id", "_chunk"], "left_anti").join(sure, ["img_id", "_id"], "left_anti")
+    return sure.unionByName(there(rest))
 
 
 def medians(df: DataFrame, group: str, values: dict[str, str]) -> DataFrame:

@@ -195,11 +195,8 @@ def worst_layout_pages(spark, sf_dir):
     select doc_id, s.img_id as img_id, edit_num, contains(page_text, norm_gt) as found from s join p on p.img_id = s.img_id where edit_num > 0 and length(norm_gt) >= 8""",
 )
 def verbatim_recoverable(spark, sf_dir, samples=V.samples):
-    from leafwright.operators.assemble import ordered_concat
-
-    s = samples(spark, sf_dir)
-    pages = ordered_concat(s.select("img_id", "doc_id", "norm_pred"), "img_id", ["doc_id"], "norm_pred", gap=" ", out="page_text")
-    return E.recoverable(s, pages).select("doc_id", "img_id", "edit_num", "found")
+    s = samples(spark, sf_dir).select("doc_id", "img_id", "norm_gt", "norm_pred", "edit_num")
+    return E.recoverable(s, "doc_id").select("doc_id", "img_id", "edit_num", "found")
 
 
 @query(

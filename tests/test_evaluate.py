@@ -109,3 +109,46 @@ def test_ratio_of_the_sides(spark):
     df = spark.createDataFrame([("LAYOUT_MISS", 6), ("RECOG_SUBST", 2), ("OTHER", 2)], "cause string, edit_num long")
     assert tuple(E.side_ratio(df).first()) == (6, 2, 0.6, 0.2, 3.0)
     assert E.side_ratio(df.limit(1)).first().ratio is None and E.side_ratio(df.limit(0)).first().ratio is None
+
+
+@pytest.mark.parametrize("heavy", [-1, 10**9])
+def test_recoverable_texts_of_heavy_pages(spark, monkeypatch, heavy):
+    """Chunks and marks find what a search of the whole prediction finds; chunks of 64 characters here."""
+    monkeypatch.setattr(E, "CHUNK", 64)
+    monkeypatch.setattr(E, "BLOCK", 4)
+    rng = random.Random(5)
+    words = ["aa", "ab", "ba", "b", "\u00e9\u4e2d", "\U0001f600a", "", "\n"]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(rng.randrange(n)))
+    rows = []
+    for page in ("p", "q", "r"):
+        preds = [rng.choice([text(4), text(30), text(90), "", None]) for _ in range(60)]
+        whole = " ".join(p for p in preds if p is not None)
+        for i, pred in enumerate(preds):
+            at, size = rng.randrange(len(whole)), rng.choice([3, 7, 8, 9, 20, 46, 47, 48, 150])
+            gt = whole[at : at + size]
+            gt = rng.choice([gt, gt, gt[:-1] + "x", gt[: len(gt) // 2] + "b" + gt[len(gt) // 2 :], text(20), whole[:30], " " + whole[:10], whole[-30:], whole[-10:] + " "])
+            rows.append((page, i, gt, pred, rng.choice([0, 1, 5]), 9, gt in whole))
+    rows += [(None, 1, "ab" * 9, "ab" * 9, 1, 9, True), ("s", 1, "abcdefgh", "", 1, 9, False)]
+    df = spark.createDataFrame(rows, "img_id string, doc_id long, norm_gt string, norm_pred string, edit_num long, upper_len long, want boolean")
+    got = E.recoverable(df, "doc_id", heavy=heavy).collect()
+    assert {(r.img_id, r.doc_id) for r in got} == {(r[0], r[1]) for r in rows if r[0] and r[4] and len(r[2]) >= 8} and len(got) > 80
+    assert [(r.img_id, r.doc_id, r.norm_gt) for r in got if r.found != r.want] == []
+    assert len({r.found for r in got}) == 2
+
+
+def test_recoverable_searches_heavy_pages_by_chunk(spark, monkeypatch):
+    """The whole prediction of a page of 1100 texts is not searched for each of them."""
+    from leafwright.functions.scalars import marks
+
+    kept = {}
+    through = E.through_disk
+    monkeypatch.setattr(E, "through_disk", lambda df, purpose: kept.setdefault(purpose, through(df, purpose)))
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(600)) for _ in range(1100)]
+    rows = [("h", i, texts[i] if i % 50 else texts[(i * 7) % 1100], texts[(i + 1) % 1100] if i % 3 else "none", 1, 600) for i in range(1100)]
+    whole = " ".join(r[3] for r in rows)
+    df = spark.createDataFrame(rows, "img_id string, doc_id long, norm_gt string, norm_pred string, edit_num long, upper_len long")
+    q = E.recoverable(df, "doc_id")
+    assert {r.doc_id: r.found for r in q.collect()} == {r[1]: r[2] in whole for r in rows}
+    assert kept["heavy-chunks"].count() > 3 and kept["heavy-places"].count() < 5000
+    assert set(marks(texts[0], (16, 32))) <= set(marks("x" + texts[0] + "y", (16, 32)))
