@@ -180,12 +180,12 @@ def recoverable(samples: DataFrame, order: str, least: int = 8, gap: str = " ",
 
     The prediction is that of the page's samples along ``order``, joined by ``gap``. In pages of up to ``heavy``
     samples it is searched for text by text; the others go as ``_found_in_chunks`` says. Every column of the samples
-    is kept and worked out once: an edit distance that is filtered where it is made would be taken twice.
+    is kept. They are written first, as an edit distance would be taken again by each of the steps, and twice where it is filtered.
     """
     if least < LEAST_MARKED:
         raise ValueError(f"texts of fewer than {LEAST_MARKED} characters have no marks")
     wanted = (F.col("edit_num") > 0) & (F.length("norm_gt") >= least)
-    samples = samples.where("img_id is not null")
+    samples = through_disk(samples.where("img_id is not null"), "samples")
     pages = through_disk(samples.groupBy("img_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > heavy).select("img_id"), "heavy-pages")
     some = not pages.isEmpty()
     light = samples.join(pages, "img_id", "left_anti") if some else samples

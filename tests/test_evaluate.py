@@ -152,3 +152,18 @@ def test_recoverable_searches_heavy_pages_by_chunk(spark, monkeypatch):
     assert {r.doc_id: r.found for r in q.collect()} == {r[1]: r[2] in whole for r in rows}
     assert kept["heavy-chunks"].count() > 3 and kept["heavy-places"].count() < 5000
     assert set(marks(texts[0], (16, 32))) <= set(marks("x" + texts[0] + "y", (16, 32)))
+
+
+def test_recoverable_takes_each_distance_once(spark):
+    """One pass over the samples works out their columns, with and without heavy pages."""
+    for heavy in (1, 128):
+        taken = spark.sparkContext.accumulator(0)
+
+        def run(x):
+            taken.add(len(x))
+            return x.str.len()
+
+        df = spark.createDataFrame([(p, i, f"text number {i}", "x") for p in "ab" for i in range(20)], "img_id string, doc_id long, norm_gt string, norm_pred string")
+        df = df.withColumn("edit_num", F.pandas_udf(run, "bigint")("norm_gt"))
+        assert E.recoverable(df, "doc_id", heavy=heavy).count() == 40 and len(E.recoverable(df, "doc_id", heavy=heavy).collect()) == 40
+        assert taken.value == 80  # two calls
